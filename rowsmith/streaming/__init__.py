@@ -1,0 +1,5 @@
+"""Intentionally empty: none of the supported operators is stateful over a stream.
+
+The stateless ones (projections, rule checks, hash splits) accept a streaming DataFrame as
+they are, because they only add column expressions.
+"""
