@@ -86,20 +86,60 @@ def l3(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("cumulative", tidy("cumulative"))
 
 
-@query("l3_choose_by_elbow")
+# Three columns: eigenvalues of a symmetric 3 x 3 matrix by the cosine form.
+_TRIO = ["month", "priority", "region5"]
+_TRIO_SQL = f"""
+WITH {PREP_SQL}, m AS (
+  SELECT var_samp(month) AS a, var_samp(priority) AS b, var_samp(region5) AS c,
+         covar_samp(month, priority) AS d, covar_samp(priority, region5) AS e,
+         covar_samp(month, region5) AS f FROM prep),
+centred AS (SELECT *, (a + b + c) / 3 AS q FROM m),
+scaled AS (
+  SELECT *, sqrt((power(a - q, 2) + power(b - q, 2) + power(c - q, 2)
+                  + 2 * (d * d + e * e + f * f)) / 6) AS p FROM centred),
+angled AS (
+  SELECT *, acos(greatest(-1, least(1, ((a - q) * ((b - q) * (c - q) - e * e)
+                  - d * (d * (c - q) - e * f) + f * (d * e - (b - q) * f)) / (2 * p * p * p)))) / 3 AS phi
+  FROM scaled),
+ends AS (SELECT q, q + 2 * p * cos(phi) AS v1, q + 2 * p * cos(phi + 2 * pi() / 3) AS v3 FROM angled),
+shares AS (
+  SELECT v1 / (3 * q) AS s1, (3 * q - v1 - v3) / (3 * q) AS s2, v3 / (3 * q) AS s3 FROM ends),
+variance AS (
+  SELECT 1 AS component, s1 AS ratio, s1 AS cumulative FROM shares
+  UNION ALL SELECT 2, s2, s1 + s2 FROM shares
+  UNION ALL SELECT 3, s3, 1.0::DOUBLE FROM shares)
+"""
+
+
+@query(
+    "l3_choose_components_three",
+    f"""{_TRIO_SQL} SELECT min(component) AS components, round(min(cumulative), 6) + 0.0 AS cumulative
+        FROM variance WHERE cumulative >= 0.9""",
+)
+def l3_three(spark: SparkSession, folder: str) -> DataFrame:
+    found = choose_components(prep(spark, folder), _TRIO, 0.9)
+    return found.withColumn("cumulative", tidy("cumulative"))
+
+
+@query(
+    "l3_choose_by_elbow",
+    f"""{_TRIO_SQL}, gaps AS (
+          SELECT component, abs((s3 - s1) * (component - 1) - 2 * (ratio - s1))
+                            / sqrt((s3 - s1) * (s3 - s1) + 4) AS distance FROM variance, shares)
+        SELECT component AS components, round(distance, 6) + 0.0 AS distance
+        FROM gaps ORDER BY gaps.distance DESC, component LIMIT 1""",
+)
 def l3_elbow(spark: SparkSession, folder: str) -> DataFrame:
-    """No closed form for eight columns: rows only, with a unit test on a known curve."""
-    return choose_by_elbow(emb(spark, folder), _DIMS).withColumn("distance", tidy("distance"))
+    return choose_by_elbow(prep(spark, folder), _TRIO).withColumn("distance", tidy("distance"))
 
 
 @query(
     "w1_explained_variance_table",
-    f"""{_ANGLE_SQL} SELECT 1 AS component, round(first_share, 6) + 0.0 AS ratio,
-        round(first_share, 6) + 0.0 AS cumulative FROM axes
-        UNION ALL SELECT 2, round(1 - first_share, 6) + 0.0, 1.0::DOUBLE FROM axes""",
+    f"""{_TRIO_SQL} SELECT component, round(ratio, 6) + 0.0 AS ratio,
+        round(cumulative, 6) + 0.0 AS cumulative FROM variance""",
 )
 def w1(spark: SparkSession, folder: str) -> DataFrame:
-    found = explained_variance_table(prep(spark, folder), _PAIR)
+    found = explained_variance_table(prep(spark, folder), _TRIO)
     return found.select("component", tidy("ratio").alias("ratio"), tidy("cumulative").alias("cumulative"))
 
 

@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
-CATALOGS = ("basics", "quality", "describe", "correlate", "reduce", "resample", "metrics", "scores")
+CATALOGS = ("basics", "quality", "describe", "correlate", "reduce", "resample", "metrics", "train", "scores")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
