@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, bucketed_counts, running_totals
@@ -105,13 +105,19 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "spearman
 
 
 def _label_pearson(rows: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    found = rows.agg(*[F.corr(c, label).alias(f"__corr{i}") for i, c in enumerate(features)])
+    # Not corr(): under ANSI arithmetic it fails on a constant column.
+    found = rows.agg(
+        F.stddev_pop(label).alias("__label"),
+        *[F.covar_pop(c, label).alias(f"__both{i}") for i, c in enumerate(features)],
+        *[F.stddev_pop(c).alias(f"__own{i}") for i, c in enumerate(features)],
+    )
+
+    def ratio(i: int) -> Column:
+        spread = F.col("__label") * F.col(f"__own{i}")
+        return F.when(spread > 0, F.col(f"__both{i}") / spread).otherwise(F.lit(float("nan")))
+
     entries = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("feature"),
-            F.coalesce(F.col(f"__corr{i}"), F.lit(float("nan"))).alias("corr"),
-        )
+        F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), ratio(i).alias("corr"))
         for i, c in enumerate(features)
     ]
     return found.select(F.inline(F.array(*entries)))

@@ -73,7 +73,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
 
     def place(i: int, name: str) -> Column:
         value, low, high = F.col(name).cast("double"), found[f"low{i}"], found[f"high{i}"]
-        guess = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
+        guess = F.least(F.floor((value - low) / F.nullif(high - low, F.lit(0.0)) * bins), F.lit(bins - 1)).cast("int")
         # The division can land next to an edge, so the edges themselves decide.
         down = F.when(value < _bin_edge(low, high, guess, bins), 1).otherwise(0)
         above = (guess < bins - 1) & (value >= _bin_edge(low, high, guess + 1, bins))

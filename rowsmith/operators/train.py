@@ -53,7 +53,7 @@ def make_model(key: str, label: str, features: int, seed: int = 1234) -> Estimat
     if key == "nb":
         return NaiveBayes(**common)
     if key == "svm":
-        return LinearSVC(**common)
+        return LinearSVC(regParam=0.01, **common)
     if key == "mlp":
         return MultilayerPerceptronClassifier(seed=seed, layers=mlp_layers(features)[0], **common)
     raise ValueError(f"unknown model: {key}")
