@@ -17,11 +17,19 @@ BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 10_000
 
 
-def bucket_limits(
-    df: DataFrame, cols: Sequence[str], distinct: dict[str, int], rows_per_bucket: int = BUCKET_ROWS
-) -> dict[str, list[float]]:
-    """Inner limits of the value buckets per column; empty for columns that fit in one."""
-    limits: dict[str, list[float]] = {c: [] for c in cols}
+Limits = dict[str, list[float]]
+
+
+def bucket_limits(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> Limits:
+    """Inner limits of the value buckets per column; empty for columns that fit in one.
+
+    One cheap job counts the rows. Only if they may not fit, a second estimates the distinct
+    values of each column, and a third finds quantiles of the columns that have too many.
+    """
+    limits: Limits = {c: [] for c in cols}
+    if df.count() <= rows_per_bucket:
+        return limits
+    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).head().asDict()
     wide = [c for c in cols if distinct[c] > rows_per_bucket]
     if wide:
         pieces = min(MAX_BUCKETS, max(2, -(-max(distinct[c] for c in wide) // rows_per_bucket)))
@@ -37,7 +45,7 @@ def bucket_limits(
 def bucketed_counts(
     df: DataFrame,
     cols: Sequence[str],
-    limits: dict[str, list[float]],
+    limits: Limits,
     keep: Sequence[str] = (),
     carry: Sequence[str] = (),
     amounts: dict[str, Column] | None = None,
@@ -48,52 +56,51 @@ def bucketed_counts(
     is the row count ``n``.
     """
     aggregates = amounts or {"n": F.count(F.lit(1))}
+    extra = [*keep, *carry]
+    names = {k: f"__keep_{k}" for k in extra}
+    wide = df.select(
+        *[F.col(c).cast("double").alias(c) for c in cols],
+        *[F.col(k).alias(n) for k, n in names.items()],
+    )
+    parts = []
+    whole = [c for c in cols if not limits[c]]
+    if whole:
+        parts.append(
+            wide.unpivot(list(names.values()), whole, "column", "value").withColumn("bucket", F.lit(0))
+        )
     split = [c for c in cols if limits[c]]
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *[
-        F.col(k).alias(f"__keep_{k}") for k in (*keep, *carry)
-    ])
     if split:
         infinity = float("inf")
-        wide = Bucketizer(
+        placed = Bucketizer(
             inputCols=split,
             outputCols=[f"__bucket_{c}" for c in split],
             splitsArray=[[-infinity, *limits[c], infinity] for c in split],
             handleInvalid="keep",
         ).transform(wide)
-    entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            (F.col(f"__bucket_{c}").cast("int") if limits[c] else F.lit(0)).alias("bucket"),
-            F.col(c).alias("value"),
-        )
-        for c in cols
-    ]
-    long = wide.select(*[F.col(f"__keep_{k}").alias(k) for k in (*keep, *carry)], F.inline(F.array(*entries)))
+        entries = [
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(c).alias("value"),
+                F.col(f"__bucket_{c}").cast("int").alias("bucket"),
+            )
+            for c in split
+        ]
+        parts.append(placed.select(*names.values(), F.inline(F.array(*entries))))
+    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return (
         long.filter(F.col("value").isNotNull())
+        .select("column", "bucket", "value", *[F.col(n).alias(k) for k, n in names.items()])
         .groupBy("column", "bucket", "value", *keep)
         .agg(*[expr.alias(name) for name, expr in aggregates.items()])
     )
 
 
-def running_totals(counts: DataFrame, amounts: Sequence[str]) -> DataFrame:
+def running_totals(counts: DataFrame, amounts: Sequence[str], limits: Limits) -> DataFrame:
     """Add ``before_<amount>``, the column's total over all strictly smaller values, and
     ``tied_<amount>``, the total over the rows that share the value.
 
-    ``counts`` is a table of :func:`bucketed_counts`.
+    ``counts`` is a table of :func:`bucketed_counts` with the same ``limits``.
     """
-    per_bucket = counts.groupBy("column", "bucket").agg(
-        *[F.sum(a).alias(f"__sum_{a}") for a in amounts]
-    )
-    # At most columns x MAX_BUCKETS rows, so one task per column is enough here.
-    earlier = (
-        Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = per_bucket.select(
-        "column",
-        "bucket",
-        *[F.coalesce(F.sum(f"__sum_{a}").over(earlier), F.lit(0)).alias(f"__off_{a}") for a in amounts],
-    )
     inside = Window.partitionBy("column", "bucket").orderBy("value")
     through = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ties = Window.partitionBy("column", "bucket", "value")
@@ -102,10 +109,23 @@ def running_totals(counts: DataFrame, amounts: Sequence[str]) -> DataFrame:
         *[F.sum(a).over(ties).alias(f"tied_{a}") for a in amounts],
         *[F.sum(a).over(through).alias(f"__through_{a}") for a in amounts],
     )
-    before = {
-        a: F.col(f"__through_{a}") - F.col(f"tied_{a}") + F.col(f"__off_{a}") for a in amounts
-    }
-    return local.join(F.broadcast(offsets), ["column", "bucket"]).select(
+    before = {a: F.col(f"__through_{a}") - F.col(f"tied_{a}") for a in amounts}
+    if any(limits.values()):
+        per_bucket = counts.groupBy("column", "bucket").agg(
+            *[F.sum(a).alias(f"__sum_{a}") for a in amounts]
+        )
+        # At most columns x MAX_BUCKETS rows, so one task per column is enough here.
+        earlier = (
+            Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        offsets = per_bucket.select(
+            "column",
+            "bucket",
+            *[F.coalesce(F.sum(f"__sum_{a}").over(earlier), F.lit(0)).alias(f"__off_{a}") for a in amounts],
+        )
+        local = local.join(F.broadcast(offsets), ["column", "bucket"])
+        before = {a: total + F.col(f"__off_{a}") for a, total in before.items()}
+    return local.select(
         *counts.columns,
         *[f"tied_{a}" for a in amounts],
         *[total.alias(f"before_{a}") for a, total in before.items()],

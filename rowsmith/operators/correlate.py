@@ -13,7 +13,7 @@ from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, bucketed_count
 from rowsmith.operators.align import lookup
 from rowsmith.operators.columns import assemble
 
-# A rank table is broadcast up to this many estimated distinct values (a few megabytes).
+# A column's rank table is broadcast up to this many distinct values (a few megabytes).
 BROADCAST_VALUES = 100_000
 
 
@@ -22,63 +22,61 @@ def _complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
 
 
-def _sizes(df: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int]]:
-    """Row count and estimated distinct values per column, from one small job."""
-    facts = df.agg(
-        F.count(F.lit(1)).alias("__n"), *[F.approx_count_distinct(c).alias(c) for c in cols]
-    ).head()
-    return facts["__n"], {c: facts[c] for c in cols}
-
-
-def rank_table(
-    df: DataFrame,
-    cols: Sequence[str],
-    rows_per_bucket: int = BUCKET_ROWS,
-    distinct: dict[str, int] | None = None,
-) -> DataFrame:
+def rank_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> DataFrame:
     """Rows (column, value, n, rank): the rank of every distinct value, ties averaged."""
-    sizes = distinct or _sizes(df, cols)[1]
-    counts = bucketed_counts(df, cols, bucket_limits(df, cols, sizes, rows_per_bucket))
-    return running_totals(counts, ["n"]).select(
+    limits = bucket_limits(df, cols, rows_per_bucket)
+    counts = bucketed_counts(df, cols, limits)
+    return running_totals(counts, ["n"], limits).select(
         "column", "value", "n", (F.col("before_n") + (F.col("n") + 1) / 2).alias("rank")
     )
 
 
-def rank_columns(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> DataFrame:
-    """The complete rows with every value replaced by its average rank.
+def _replace_by_rank(rows: DataFrame, cols: Sequence[str], ranks: DataFrame) -> tuple[DataFrame, bool]:
+    """Every value replaced by its rank, and whether that takes a shuffle of the rows.
 
-    Columns with few distinct values (codes) are served by broadcast rank tables inside one
-    stage. The others are joined by value, with hot values split off.
+    Columns with few distinct values (codes) are served by broadcast tables inside one stage.
+    The others are joined by value, with hot values split off.
     """
-    rows = _complete(df, cols)
-    _, distinct = _sizes(rows, cols)
-    ranks = rank_table(rows, cols, rows_per_bucket, distinct)
+    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
+    shuffled = False
     for c in cols:
         table = ranks.filter(F.col("column") == c).select(
             F.col("value").alias("__value"), "n", F.col("rank").alias("__rank")
         )
-        if distinct[c] <= BROADCAST_VALUES:
-            small = table.select(F.col("__value").alias(c), "__rank")
-            rows = rows.join(F.broadcast(small), c)
+        if sizes.get(c, 0) <= BROADCAST_VALUES:
+            small = F.broadcast(table.select("__value", "__rank"))
+            rows = rows.join(small, F.col(c) == F.col("__value"))
         else:
+            shuffled = True
             rows = lookup(rows, table, {c: "__value"}, ["__rank"], "n")
-        rows = rows.withColumn(c, F.col("__rank")).drop("__rank").select(*cols)
-    return rows
+        rows = rows.select(*[F.col("__rank").alias(c) if c == other else other for other in cols])
+    return rows, shuffled
 
 
-def correlation_array(df: DataFrame, cols: Sequence[str], method: str = "spearman") -> np.ndarray:
-    """The d x d matrix on the driver; its size depends on the number of columns only."""
+def correlation_array(
+    df: DataFrame, cols: Sequence[str], method: str = "spearman", rows_per_bucket: int = BUCKET_ROWS
+) -> np.ndarray:
+    """The d x d matrix on the driver; its size depends on the number of columns only.
+
+    Spearman's is Pearson's over average ranks. The rank table is kept while the matrix is
+    computed; the ranked rows only where they came out of a shuffle.
+    """
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown correlation method: {method}")
-    rows = _complete(df, cols)
-    if method == "spearman":
-        rows = rank_columns(rows, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, kept = _complete(df, cols), []
     try:
+        if method == "spearman":
+            ranks = rank_table(rows, cols, rows_per_bucket).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(ranks)
+            rows, shuffled = _replace_by_rank(rows, cols, ranks)
+            if shuffled:
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(rows)
         found = Correlation.corr(assemble(rows, cols).select("features"), "features", "pearson")
         return found.head()[0].toArray()
     finally:
-        if method == "spearman":
-            rows.unpersist()
+        for frame in kept:
+            frame.unpersist()
 
 
 def _matrix_frame(df: DataFrame, cols: Sequence[str], matrix: np.ndarray) -> DataFrame:
@@ -128,21 +126,22 @@ def _label_spearman(
 ) -> DataFrame:
     """Everything the coefficient needs is in the counts of (feature value, label value), so
     no rank is ever joined back to the rows."""
-    n, distinct = _sizes(rows, [*features, label])
-    limits = bucket_limits(rows, features, distinct, rows_per_bucket)
+    limits = bucket_limits(rows, features, rows_per_bucket)
     counts = bucketed_counts(rows, features, limits, keep=[label])
-    by_label = running_totals(counts, ["n"]).select(
+    by_label = running_totals(counts, ["n"], limits).select(
         "column",
         label,
         "n",
         (F.col("before_n") + (F.col("tied_n") + 1) / 2).alias("rx"),
     )
-    label_ranks = rank_table(rows, [label], rows_per_bucket, distinct).select(
+    label_ranks = rank_table(rows.select(label), [label], rows_per_bucket).select(
         F.col("value").alias(label), F.col("rank").alias("ry")
     )
-    if distinct[label] <= BROADCAST_VALUES:
+    # A class label is broadcast; a continuous one, whose values hardly repeat, is shuffled.
+    if rows.select(label).distinct().limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
         label_ranks = F.broadcast(label_ranks)
-    middle = (n + 1) / 2
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    middle = (total + 1) / 2
     dx, dy = F.col("rx") - middle, F.col("ry") - middle
     sums = (
         by_label.join(label_ranks, label)

@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowsmith.functions.expressions import tidy
 
 
+def _number(column: str) -> Column:
+    """The value as a double; NaN counts as missing, like null."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
@@ -52,10 +57,6 @@ def value_limits(
     return ends.select(F.inline(F.array(*entries)))
 
 
-def _bin_edge(low: Column, high: Column, place: Column, bins: int) -> Column:
-    return place * ((high - low) / F.lit(bins)) + low
-
-
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     """Rows (column, bin, lo, hi, n) of equal-width bins between each column's ends.
 
@@ -64,51 +65,48 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     combine before the shuffle, which moves at most columns x bins rows per task.
     """
     ends = df.agg(
-        F.struct(
-            *[F.min(c).cast("double").alias(f"low{i}") for i, c in enumerate(cols)],
-            *[F.max(c).cast("double").alias(f"high{i}") for i, c in enumerate(cols)],
-        ).alias("ends")
-    )
-    found = ends.scalar()
-
-    def place(i: int, name: str) -> Column:
-        value, low, high = F.col(name).cast("double"), found[f"low{i}"], found[f"high{i}"]
-        guess = F.least(F.floor((value - low) / F.nullif(high - low, F.lit(0.0)) * bins), F.lit(bins - 1)).cast("int")
-        # The division can land next to an edge, so the edges themselves decide.
-        down = F.when(value < _bin_edge(low, high, guess, bins), 1).otherwise(0)
-        above = (guess < bins - 1) & (value >= _bin_edge(low, high, guess + 1, bins))
-        exact = guess - down + F.when(above, 1).otherwise(0)
-        return F.when(value.isNull(), None).when(low == high, F.lit(0)).otherwise(exact).cast("int")
-
-    counts = (
-        df.select(*[place(i, c).alias(c) for i, c in enumerate(cols)])
-        .unpivot([], list(cols), "column", "bin")
-        .filter(F.col("bin").isNotNull())
-        .groupBy("column", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        *[F.min(_number(c)).alias(f"__low{i}") for i, c in enumerate(cols)],
+        *[F.max(_number(c)).alias(f"__high{i}") for i, c in enumerate(cols)],
     )
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            F.col(f"ends.low{i}").alias("low"),
-            F.col(f"ends.high{i}").alias("high"),
+            F.col(f"__low{i}").alias("low"),
+            F.col(f"__high{i}").alias("high"),
+            ((F.col(f"__high{i}") - F.col(f"__low{i}")) / bins).alias("step"),
         )
         for i, c in enumerate(cols)
     ]
-    last = F.when(F.col("low") == F.col("high"), F.lit(0)).otherwise(F.lit(bins - 1))
-    frame = (
-        ends.select(F.inline(F.array(*entries)))
-        .filter(F.col("low").isNotNull())
-        .select("*", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
-    )
-    top = F.when(F.col("bin") == bins - 1, F.col("high")).otherwise(
-        _bin_edge(F.col("low"), F.col("high"), F.col("bin") + 1, bins)
+    # One row per column.
+    ranges = ends.select(F.inline(F.array(*entries))).filter(F.col("low").isNotNull())
+
+    def edge(place: Column) -> Column:
+        return place * F.col("step") + F.col("low")
+
+    # The division can land next to an edge, so the edges themselves decide.
+    value, guess = F.col("value"), F.col("guess")
+    share = (value - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+    too_high = F.when(value < edge(guess), 1).otherwise(0)
+    too_low = F.when((guess < bins - 1) & (value >= edge(guess + 1)), 1).otherwise(0)
+    counts = (
+        df.select(*[_number(c).alias(c) for c in cols])
+        .unpivot([], list(cols), "column", "value")
+        .filter(value.isNotNull())
+        .join(F.broadcast(ranges), "column")
+        .withColumn("guess", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
+        .select("column", F.coalesce(guess - too_high + too_low, F.lit(0)).alias("bin"))
+        .groupBy("column", "bin")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return frame.join(counts, ["column", "bin"], "left").select(
+    single = F.col("low") == F.col("high")
+    last = F.when(single, F.lit(0)).otherwise(F.lit(bins - 1))
+    every = ranges.select("*", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    closed = single | (F.col("bin") == bins - 1)
+    return every.join(counts, ["column", "bin"], "left").select(
         "column",
         "bin",
-        tidy(_bin_edge(F.col("low"), F.col("high"), F.col("bin"), bins)).alias("lo"),
-        tidy(F.when(F.col("low") == F.col("high"), F.col("high")).otherwise(top)).alias("hi"),
+        tidy(edge(F.col("bin"))).alias("lo"),
+        tidy(F.when(closed, F.col("high")).otherwise(edge(F.col("bin") + 1))).alias("hi"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -126,7 +124,7 @@ def density(
     not are used as they stream by. ``prebin`` trades exactness for speed by moving values to
     the middle of that many equal cells.
     """
-    value = F.col(col).cast("double")
+    value = _number(col)
     facts = df.agg(
         F.min(value).alias("low"),
         F.max(value).alias("high"),

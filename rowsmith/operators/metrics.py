@@ -117,20 +117,20 @@ def auc_roc(
     """One row (auc, positives, negatives): the exact area under the ROC curve, where a tie
     between a positive and a negative counts half. Null unless both classes occur.
 
-    One small job estimates the number of distinct scores, to size the buckets.
+    Small jobs size the value buckets, as for the rank tables of correlations.
     """
     rows = scored.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).dropna()
-    distinct = {"score": rows.agg(F.approx_count_distinct("score")).head()[0]}
     is_positive = F.col("label") == positive
     rows = rows.select("score", is_positive.cast("int").alias("hit"))
+    limits = bucket_limits(rows, ["score"], rows_per_bucket)
     per_score = bucketed_counts(
         rows,
         ["score"],
-        bucket_limits(rows, ["score"], distinct, rows_per_bucket),
+        limits,
         carry=["hit"],
         amounts={"pos": F.sum("hit"), "neg": F.sum(1 - F.col("hit"))},
     )
-    ranked = running_totals(per_score, ["neg"])
+    ranked = running_totals(per_score, ["neg"], limits)
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
     return ranked.agg(
         F.sum(won).alias("won"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
