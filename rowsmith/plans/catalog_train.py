@@ -128,6 +128,43 @@ def t2(spark: SparkSession, folder: str) -> DataFrame:
     return gate.withColumn("held_out_well", auc > 0.8)
 
 
+_TUNED = {
+    "dt": {"maxDepth": [5, 10], "minInstancesPerNode": [1, 2]},
+    "nb": {"smoothing": [1.0, 10.0]},
+}
+
+
+@query(
+    "t2_grid_search_orders",
+    f"""WITH {PREP_SQL}, held AS (SELECT count(*) AS held_out FROM prep WHERE NOT ({_IN_TRAIN}))
+        SELECT model, points, held_out, true AS in_range, true AS best_is_highest
+        FROM held, (VALUES ('dt', CAST(4 AS BIGINT)), ('nb', 2)) AS v(model, points)""",
+)
+def t2_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate: two models tuned by three-fold cross-validation on all orders."""
+    features = ["price", *_CODES]
+    rows = assemble(prep(spark, folder), features).select("o_orderkey", "features", "label")
+    train, test = train_test_split(rows, "o_orderkey")
+    found = []
+    for key, values in _TUNED.items():
+        model = make_model(key, "label", len(features))
+        tuned = grid_search(model, param_grid(model, values), train, "label", key="o_orderkey")
+        row = all_metrics(tuned.model.transform(test), "label").head()
+        best = tuned.averages[tuned.points.index(tuned.best_params)]
+        found.append(
+            (
+                key,
+                len(tuned.averages),
+                row["tp"] + row["fp"] + row["tn"] + row["fn"],
+                all(0 <= a <= 1 for a in tuned.averages),
+                best == max(tuned.averages),
+            )
+        )
+    return spark.createDataFrame(
+        found, "model string, points bigint, held_out bigint, in_range boolean, best_is_highest boolean"
+    )
+
+
 @query(
     "t3_best_params",
     """SELECT 'maxDepth' AS name, true AS from_grid UNION ALL SELECT 'minInstancesPerNode', true""",
