@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.functions.expressions import same_value
-from rowsmith.session import materialise
+from rowsmith.session import scratch_path
 
 # A key counts as hot when it holds more than this share of the rows, so there are at most
 # 1 / HOT_SHARE hot keys and the table of them can always be broadcast.
@@ -28,26 +28,31 @@ def align_outer(x: DataFrame, y: DataFrame, key: str | Sequence[str]) -> DataFra
 def with_position(df: DataFrame, name: str = "position", stable: bool = False) -> DataFrame:
     """Add the row's place 0..n-1 in partition order, without sorting and without Python rows.
 
-    The frame is materialised first, so that counting and numbering see the same partitions
-    even if an executor is lost in between. ``stable=True`` skips that for inputs whose
-    partitions cannot change, such as a frame that is already checkpointed.
+    The rows are first written to the shared folder together with their partition and place in
+    it. Counting and numbering then see the same places even if an executor is lost in
+    between, and the counting pass reads that one column. ``stable=True`` skips the table for
+    inputs whose partitions and row order cannot change.
     """
-    fixed = df if stable else materialise(df)
-    # monotonically_increasing_id is (partition << 33) + offset in the partition.
-    tagged = fixed.withColumn("__id", F.monotonically_increasing_id())
+    spark = df.sparkSession
+    # monotonically_increasing_id is (partition << 33) + place in the partition.
+    tagged = df.withColumn("__id", F.monotonically_increasing_id())
+    if not stable:
+        path = scratch_path(spark, "positions")
+        tagged.write.parquet(path)
+        tagged = spark.read.schema(tagged.schema).parquet(path)
     partition = F.shiftright("__id", 33)
     sizes = tagged.groupBy(partition.alias("__part")).agg(F.count(F.lit(1)).alias("__size")).collect()
     start, starts = 0, []
     for row in sorted(sizes, key=lambda r: r["__part"]):
         starts.append((row["__part"], start))
         start += row["__size"]
-    offsets = df.sparkSession.createDataFrame(starts, "__part long, __start long")
+    offsets = spark.createDataFrame(starts, "__part long, __start long")
     inside = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         tagged.withColumn("__part", partition)
         .join(F.broadcast(offsets), "__part")  # one row per partition
         .withColumn(name, F.col("__start") + inside)
-        .drop("__id", "__part", "__start")
+        .select(*df.columns, name)
     )
 
 

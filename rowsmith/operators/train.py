@@ -113,7 +113,7 @@ def grid_search(
     """Try every grid point by cross-validation and refit the best on all training rows.
 
     With ``key`` the folds come from its hash, so they do not depend on the partitioning.
-    The rows are kept for the many fits and given free afterwards.
+    The rows are kept for the many fits and given free afterwards, unless the caller keeps them.
     """
     context = train.sparkSession.sparkContext
     threads = parallelism or min(4, context.defaultParallelism)
@@ -127,15 +127,19 @@ def grid_search(
         seed=seed,
     )
     columns = ["features", label]
+    kept = train.is_cached
     if key is not None:
         train = kfold(train, key, folds, seed, "fold")
         validator.setFoldCol("fold")
         columns.append("fold")
-    rows = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.select(*columns)
+    if not kept:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found = validator.fit(rows)
     finally:
-        rows.unpersist()
+        if not kept:
+            rows.unpersist()
     points = [{p.name: v for p, v in point.items()} for point in grid]
     averages = [float(v) for v in found.avgMetrics]
     better = max if evaluator.isLargerBetter() else min
@@ -194,10 +198,29 @@ def experiment(
     spark = df.sparkSession
     tuned = values or TUNED_VALUES
 
+    # The rows of one sampling and feature set are prepared once for all its models.
+    ready: dict[str, object] = {}
+
+    def release() -> None:
+        for frame in ready.get("frames", ()):
+            frame.unpersist()
+        ready.clear()
+
+    def prepare(sampling: str, feature_set: str) -> tuple[DataFrame, DataFrame]:
+        if ready.get("name") != (sampling, feature_set):
+            release()
+            frames = [
+                assemble(part, feature_sets[feature_set])
+                .select(key, "features", label)
+                .persist(StorageLevel.MEMORY_AND_DISK)
+                for part in split_and_resample(df, key, label, sampling, resample_first)
+            ]
+            ready.update(name=(sampling, feature_set), frames=frames)
+        return tuple(ready["frames"])
+
     def run(sampling: str, feature_set: str, model_key: str) -> DataFrame:
         features = list(feature_sets[feature_set])
-        train, test = split_and_resample(df, key, label, sampling, resample_first)
-        train, test = assemble(train, features), assemble(test, features)
+        train, test = prepare(sampling, feature_set)
         model = make_model(model_key, label, len(features))
         started = time.monotonic()
         best: dict[str, object] = {}
@@ -216,4 +239,7 @@ def experiment(
         )
         return spark.createDataFrame([values_row], SCORE_SCHEMA)
 
-    return run_pending(experiment_plan(spark, samplings, list(feature_sets), models), path, run)
+    try:
+        return run_pending(experiment_plan(spark, samplings, list(feature_sets), models), path, run)
+    finally:
+        release()

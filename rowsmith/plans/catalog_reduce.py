@@ -54,11 +54,28 @@ _PAIR = ["month", "priority"]
 )
 def l1(spark: SparkSession, folder: str) -> DataFrame:
     """All eight components; the covariance shares are rebuilt from them."""
-    fitted = pca_fit(emb(spark, folder), _DIMS)
+    return _rebuilt(pca_fit(emb(spark, folder), _DIMS))
+
+
+def _rebuilt(fitted: DataFrame) -> DataFrame:
     left = fitted.select(F.col("feature").alias("feature_a"), "component", F.col("loading").alias("a"), "ratio")
     right = fitted.select(F.col("feature").alias("feature_b"), "component", F.col("loading").alias("b"))
-    rebuilt = left.join(right, "component").groupBy("feature_a", "feature_b")
-    return rebuilt.agg(tidy(F.sum(F.col("a") * F.col("b") * F.col("ratio"))).alias("share"))
+    pairs = left.join(right, "component").groupBy("feature_a", "feature_b")
+    return pairs.agg(tidy(F.sum(F.col("a") * F.col("b") * F.col("ratio"))).alias("share"))
+
+
+@query(
+    "l1_pca_fit_vectors",
+    """WITH long AS (SELECT vec_id, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v
+                     FROM embeddings),
+         total AS (SELECT sum(var) AS total FROM (SELECT var_samp(v) AS var FROM long GROUP BY i))
+       SELECT 'e' || a.i AS feature_a, 'e' || b.i AS feature_b,
+              round(covar_samp(a.v, b.v) / any_value(total), 6) + 0.0 AS share
+       FROM long AS a JOIN long AS b USING (vec_id), total GROUP BY a.i, b.i""",
+)
+def l1_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over the whole vectors, with all sixty-four components."""
+    return _rebuilt(pca_fit(emb(spark, folder, 64), [f"e{i}" for i in range(1, 65)]))
 
 
 @query(

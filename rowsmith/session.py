@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -50,9 +50,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder; nothing is ever overwritten."""
     return f"{shared_dir(spark)}/rowsmith/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage through reliable storage, so partitions and row order are fixed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -33,7 +33,7 @@ def parts(data):
     return train_test_split(assemble(data, FEATURES), "k")
 
 
-def test_layers_and_grids():
+def test_layers_and_grids(spark):
     assert mlp_layers(13) == [[13, 50, 2], [13, 100, 2], [13, 25, 25, 2]]
     assert set(TUNED_VALUES) == set(MODEL_KEYS)
     model = make_model("mlp", "label", 4)
