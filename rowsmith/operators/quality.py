@@ -89,15 +89,17 @@ def clean(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 def validity_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows (feature, invalid, nulls), all rules in one pass. Nulls are counted apart."""
+    columns = list(dict.fromkeys(r.column for r in rules))
     counted = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count(c).alias(f"__present{i}") for i, c in enumerate(columns)],
         *[F.count_if(~r.holds()).alias(f"__invalid{i}") for i, r in enumerate(rules)],
-        *[F.count_if(F.col(r.column).isNull()).alias(f"__null{i}") for i, r in enumerate(rules)],
     )
     entries = [
         F.struct(
             F.lit(r.column).alias("feature"),
             F.col(f"__invalid{i}").alias("invalid"),
-            F.col(f"__null{i}").alias("nulls"),
+            (F.col("__rows") - F.col(f"__present{columns.index(r.column)}")).alias("nulls"),
         )
         for i, r in enumerate(rules)
     ]
