@@ -86,6 +86,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
 
     # The division can land next to an edge, so the edges themselves decide.
     value, guess = F.col("value"), F.col("guess")
+    single = F.col("low") == F.col("high")
     share = (value - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
     too_high = F.when(value < edge(guess), 1).otherwise(0)
     too_low = F.when((guess < bins - 1) & (value >= edge(guess + 1)), 1).otherwise(0)
@@ -95,11 +96,10 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
         .filter(value.isNotNull())
         .join(F.broadcast(ranges), "column")
         .withColumn("guess", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
-        .select("column", F.coalesce(guess - too_high + too_low, F.lit(0)).alias("bin"))
+        .select("column", F.when(single, 0).otherwise(guess - too_high + too_low).alias("bin"))
         .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    single = F.col("low") == F.col("high")
     last = F.when(single, F.lit(0)).otherwise(F.lit(bins - 1))
     every = ranges.select("*", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
     closed = single | (F.col("bin") == bins - 1)
