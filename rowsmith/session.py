@@ -42,8 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="rowsmith-")
         path = _local_dirs[app]
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(path)
+    if path.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} names a folder of one machine: {path}")
     return path.rstrip("/")
 
 
