@@ -29,6 +29,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def settled(flag: Column) -> Column:
+    """The same flag, worked out in the projection that names it.
+
+    A filter on a plain flag is pushed below the projection, which repeats all of the expressions
+    behind it there. A partition's number is never negative, but Spark does not move it.
+    """
+    return flag & (F.spark_partition_id() >= 0)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

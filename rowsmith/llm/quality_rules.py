@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.llm.common import hidden
+from rowsmith.llm.common import hidden, settled
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -151,7 +151,7 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
         F.struct(
             *[c[f].alias(f) for f in fields],
             failed.alias("base_failed"),
-            (~failed & (c["lost_chars"] <= MAX_LOST * c["word_chars"])).alias("kept"),
+            settled(~failed & (c["lost_chars"] <= MAX_LOST * c["word_chars"])).alias("kept"),
             clean.alias("clean"),
         ),
     ).drop(text, words, lines, bad, hashes, counts)
