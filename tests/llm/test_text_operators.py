@@ -190,7 +190,7 @@ def test_licences_inherit_from_the_nearest_directory(spark):
         ("/other/f.txt", ""),
         (None, "Licensed under CC BY-NC 4.0."),
         ("/a/b/z.txt", "plain"),
-        ("/a/g.txt", "This work is licensed under the GNU General Public License, version 2. " + "text " * 99),
+        ("/a/g.txt", "This work is licensed under the GNU General Public License, version 2. " + "Text " * 99),
     ]
     docs = spark.createDataFrame(files, "path string, text string")
     got = sorted((str(r["path"]), str(r["licence"]), r["origin"], str(r["from_path"])) for r in licenses.licences(docs).collect())
