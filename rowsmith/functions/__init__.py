@@ -5,10 +5,10 @@ from rowsmith.functions.expressions import (
     same_value,
     tidy,
 )
-from rowsmith.functions.prefix import bucketed_counts, running_totals
+from rowsmith.functions.prefix import running_totals, value_counts
 
 __all__ = [
-    "bucketed_counts",
+    "value_counts",
     "hash32",
     "hash_below",
     "hash_bucket",

@@ -1,8 +1,9 @@
 """Running totals over ordered values without a single-task window.
 
 A plain ``sum() over (order by value)`` sends the whole column to one task. Here rows are
-first compressed to (value, amounts), the value axis is cut into buckets of bounded size,
-each bucket is summed on its own, and the few bucket totals are accumulated separately.
+first counted per (column, value), in one pass whose small result is written. Everything else
+reads that table: the number of distinct values, the limits that cut them into buckets of
+bounded size, the sums per bucket and the few bucket totals, which are accumulated separately.
 The bucket limits only balance the work: any limits give the same, exact result.
 """
 
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowsmith.session import written
+
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 10_000
 
@@ -20,96 +23,81 @@ MAX_BUCKETS = 10_000
 Limits = dict[str, list[float]]
 
 
-def bucket_limits(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> Limits:
-    """Inner limits of the value buckets per column; empty for columns that fit in one.
-
-    One cheap job counts the rows. Only if they may not fit, a second estimates the distinct
-    values of each column, and a third finds quantiles of the columns that have too many.
-    """
-    limits: Limits = {c: [] for c in cols}
-    if df.count() <= rows_per_bucket:
-        return limits
-    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).head().asDict()
-    wide = [c for c in cols if distinct[c] > rows_per_bucket]
-    if wide:
-        pieces = min(MAX_BUCKETS, max(2, -(-max(distinct[c] for c in wide) // rows_per_bucket)))
-        probs = [i / pieces for i in range(1, pieces)]
-        found = df.select(*[F.col(c).cast("double") for c in wide]).approxQuantile(
-            wide, probs, 1.0 / (4 * pieces)
-        )
-        for c, points in zip(wide, found):
-            limits[c] = sorted(set(points))
-    return limits
-
-
-def bucketed_counts(
+def value_counts(
     df: DataFrame,
     cols: Sequence[str],
-    limits: Limits,
     keep: Sequence[str] = (),
     carry: Sequence[str] = (),
     amounts: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Long table (column, bucket, value, *keep, amounts), one row per distinct combination.
+    """Written table (column, value, *keep, amounts), one row per distinct combination.
 
     ``amounts`` maps a name to an aggregate, which may use the ``carry`` columns; the default
-    is the row count ``n``.
+    is the row count ``n``. The input is read once.
     """
     aggregates = amounts or {"n": F.count(F.lit(1))}
-    extra = [*keep, *carry]
-    names = {k: f"__keep_{k}" for k in extra}
+    names = {k: f"__keep_{k}" for k in [*keep, *carry]}
     wide = df.select(
         *[F.col(c).cast("double").alias(c) for c in cols],
         *[F.col(k).alias(n) for k, n in names.items()],
     )
-    parts = []
-    whole = [c for c in cols if not limits[c]]
-    if whole:
-        parts.append(
-            wide.unpivot(list(names.values()), whole, "column", "value").withColumn("bucket", F.lit(0))
-        )
-    split = [c for c in cols if limits[c]]
-    if split:
-        infinity = float("inf")
-        placed = Bucketizer(
-            inputCols=split,
-            outputCols=[f"__bucket_{c}" for c in split],
-            splitsArray=[[-infinity, *limits[c], infinity] for c in split],
-            handleInvalid="keep",
-        ).transform(wide)
-        entries = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(c).alias("value"),
-                F.col(f"__bucket_{c}").cast("int").alias("bucket"),
-            )
-            for c in split
-        ]
-        parts.append(placed.select(*names.values(), F.inline(F.array(*entries))))
-    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return (
-        long.filter(F.col("value").isNotNull())
-        .select("column", "bucket", "value", *[F.col(n).alias(k) for k, n in names.items()])
-        .groupBy("column", "bucket", "value", *keep)
+    counts = (
+        wide.unpivot(list(names.values()), list(cols), "column", "value")
+        .filter(F.col("value").isNotNull())
+        .select("column", "value", *[F.col(n).alias(k) for k, n in names.items()])
+        .groupBy("column", "value", *keep)
         .agg(*[expr.alias(name) for name, expr in aggregates.items()])
     )
+    return written(counts, "value-counts")
+
+
+def bucket_limits(counts: DataFrame, rows_per_bucket: int = BUCKET_ROWS) -> Limits:
+    """Inner limits of the value buckets per column; empty for columns that fit in one.
+
+    ``counts`` has one row per distinct (column, value), so the quantiles are those of distinct
+    values and no value's frequency can fill a bucket.
+    """
+    sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+    limits: Limits = {c: [] for c in sizes}
+    for c, size in sizes.items():
+        if size > rows_per_bucket:
+            pieces = min(MAX_BUCKETS, max(2, -(-size // rows_per_bucket)))
+            probs = [i / pieces for i in range(1, pieces)]
+            of_column = counts.filter(F.col("column") == c)
+            limits[c] = sorted(set(of_column.approxQuantile("value", probs, 1.0 / (4 * pieces))))
+    return limits
+
+
+def with_buckets(counts: DataFrame, limits: Limits) -> DataFrame:
+    """Add the bucket of every (column, value)."""
+    split = [c for c in limits if limits[c]]
+    if not split:
+        return counts.withColumn("bucket", F.lit(0))
+    infinity = float("inf")
+    parts = [counts.filter(~F.col("column").isin(split)).withColumn("bucket", F.lit(0))]
+    for c in split:
+        placed = Bucketizer(
+            inputCol="value", outputCol="__bucket", splits=[-infinity, *limits[c], infinity], handleInvalid="keep"
+        ).transform(counts.filter(F.col("column") == c))
+        parts.append(placed.withColumn("bucket", F.col("__bucket").cast("int")).drop("__bucket"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def running_totals(counts: DataFrame, amounts: Sequence[str], limits: Limits) -> DataFrame:
-    """Add ``before_<amount>``, the column's total over all strictly smaller values, and
-    ``tied_<amount>``, the total over the rows that share the value.
+    """Add ``before_<amount>``, the column's total over all strictly smaller values.
 
-    ``counts`` is a table of :func:`bucketed_counts` with the same ``limits``.
+    ``counts`` has one row per (column, value), with its bucket from :func:`with_buckets`.
     """
     inside = Window.partitionBy("column", "bucket").orderBy("value")
     through = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ties = Window.partitionBy("column", "bucket", "value")
     local = counts.select(
         "*",
-        *[F.sum(a).over(ties).alias(f"tied_{a}") for a in amounts],
         *[F.sum(a).over(through).alias(f"__through_{a}") for a in amounts],
     )
-    before = {a: F.col(f"__through_{a}") - F.col(f"tied_{a}") for a in amounts}
+    before = {a: F.col(f"__through_{a}") - F.col(a) for a in amounts}
     if any(limits.values()):
         per_bucket = counts.groupBy("column", "bucket").agg(
             *[F.sum(a).alias(f"__sum_{a}") for a in amounts]
@@ -127,6 +115,5 @@ def running_totals(counts: DataFrame, amounts: Sequence[str], limits: Limits) ->
         before = {a: total + F.col(f"__off_{a}") for a, total in before.items()}
     return local.select(
         *counts.columns,
-        *[f"tied_{a}" for a in amounts],
         *[total.alias(f"before_{a}") for a, total in before.items()],
     )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.functions.expressions import same_value
-from rowsmith.session import scratch_path
+from rowsmith.session import scratch_path, written
 
 # A key counts as hot when it holds more than this share of the rows, so there are at most
 # 1 / HOT_SHARE hot keys and the table of them can always be broadcast.
@@ -25,41 +26,62 @@ def align_outer(x: DataFrame, y: DataFrame, key: str | Sequence[str]) -> DataFra
     return x.join(y, [key] if isinstance(key, str) else list(key), "full_outer")
 
 
-def with_position(df: DataFrame, name: str = "position", stable: bool = False) -> DataFrame:
-    """Add the row's place 0..n-1 in partition order, without sorting and without Python rows.
+def _tagged(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows with an increasing id, and the columns that name their piece of the input.
 
-    The rows are first written to the shared folder together with their partition and place in
-    it. Counting and numbering then see the same places even if an executor is lost in
-    between, and the counting pass reads that one column. ``stable=True`` skips the table for
-    inputs whose partitions and row order cannot change.
+    Pieces of files are told by path and place in the file, since Spark deals them out by
+    size and not by name. Other inputs have no files: their partitions are the pieces, and the
+    rows are written once so that both passes below see the same ones.
     """
     spark = df.sparkSession
     # monotonically_increasing_id is (partition << 33) + place in the partition.
-    tagged = df.withColumn("__id", F.monotonically_increasing_id())
-    if not stable:
-        path = scratch_path(spark, "positions")
-        tagged.write.parquet(path)
-        tagged = spark.read.schema(tagged.schema).parquet(path)
-    partition = F.shiftright("__id", 33)
-    sizes = tagged.groupBy(partition.alias("__part")).agg(F.count(F.lit(1)).alias("__size")).collect()
+    row_id = F.monotonically_increasing_id()
+    try:
+        places = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+        return df.select("*", *places, row_id.alias("__id")), ["__file", "__block"]
+    except AnalysisException:
+        pass
+    path = scratch_path(spark, "positions")
+    tagged = df.withColumn("__id", row_id).withColumn("__block", F.shiftright("__id", 33))
+    tagged.write.parquet(path)
+    return spark.read.schema(tagged.schema).parquet(path), ["__block"]
+
+
+def _numbered(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Rows with their position, and how many there are."""
+    tagged, piece = _tagged(df)
+    # One row per piece of the input.
+    sizes = tagged.groupBy(*piece).agg(F.count(F.lit(1)).alias("__size"), F.min("__id").alias("__least")).collect()
     start, starts = 0, []
-    for row in sorted(sizes, key=lambda r: r["__part"]):
-        starts.append((row["__part"], start))
+    for row in sorted(sizes, key=lambda r: [r[c] for c in piece]):
+        starts.append((*[row[c] for c in piece], start - row["__least"]))
         start += row["__size"]
-    offsets = spark.createDataFrame(starts, "__part long, __start long")
-    inside = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        tagged.withColumn("__part", partition)
-        .join(F.broadcast(offsets), "__part")  # one row per partition
-        .withColumn(name, F.col("__start") + inside)
-        .select(*df.columns, name)
-    )
+    kinds = ", ".join(f"{c} {'string' if c == '__file' else 'long'}" for c in piece)
+    offsets = df.sparkSession.createDataFrame(starts, f"{kinds}, __offset long")
+    placed = tagged.join(F.broadcast(offsets), piece).withColumn(name, F.col("__id") + F.col("__offset"))
+    return placed.select(*df.columns, name), start
+
+
+def with_position(df: DataFrame, name: str = "position") -> DataFrame:
+    """Add the row's place 0..n-1, without sorting and without Python rows.
+
+    Rows read from files are numbered by file name and place in the file, whatever partitions
+    Spark reads them in; other rows in the order of their partitions.
+    """
+    return _numbered(df, name)[0]
 
 
 def align_by_position(x: DataFrame, y: DataFrame) -> DataFrame:
-    """Row i of x beside row i of y, however the two are partitioned."""
+    """Row i of x beside row i of y, however the two are partitioned or cut into files.
+
+    Raises ValueError when the frames differ in length: then no pairing is right.
+    """
     place = "__position"
-    return align(with_position(x, place), with_position(y, place), place).drop(place)
+    left, rows = _numbered(x, place)
+    right, others = _numbered(y, place)
+    if rows != others:
+        raise ValueError(f"{rows} rows cannot be paired with {others}")
+    return align(left, right, place).drop(place)
 
 
 def pending(plan: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,9 +111,11 @@ def lookup(
     """Add ``payload`` columns of ``table`` (one row per key) to ``df``; nulls match nulls.
 
     ``on`` maps columns of df to columns of table, ``weight`` is the number of df rows behind
-    a table row. Hot keys are answered from a broadcast of the hot part of the table, and
-    their rows are then spread over random salts, so the shuffle join that serves all other
-    keys never meets a group of more than ``hot_share`` of the rows.
+    a table row; the table is read several times, so it should be written or kept. Hot keys are
+    answered from a broadcast of the hot part of the table, and their rows are then spread over
+    salts, so the shuffle join that serves all other keys never meets a group of more than
+    ``hot_share`` of the rows. A salt hangs on the row's values and its partition only: a task that
+    runs again gives every row the same one.
     """
     keys = list(on)
     total = table.agg(F.sum(weight)).scalar()
@@ -112,8 +136,12 @@ def lookup(
             [F.col(k) for k in keys], [F.col(f"__{tag}_key{i}") for i in range(len(keys))]
         )
 
+    values = [c for c, kind in df.dtypes if "map<" not in kind]  # maps have no hash
     known = df.join(F.broadcast(hot), match("hot"), "left").withColumn(
-        "__salt", F.when(F.col("__hot") == 1, 1 + F.floor(F.rand(7) * SALTS)).otherwise(F.lit(0)).cast("int")
+        "__salt",
+        F.when(F.col("__hot") == 1, 1 + F.pmod(F.xxhash64(*values, F.spark_partition_id()), F.lit(SALTS)))
+        .otherwise(F.lit(0))
+        .cast("int"),
     )
     served = known.join(cold, match("cold") & (F.col("__salt") == F.col("__cold")), "left")
     return served.select(
@@ -133,7 +161,7 @@ def with_group_facts(
     groups = df.groupBy(*keys).agg(
         *[expr.alias(name) for name, expr in facts.items()], F.count(F.lit(1)).alias("__rows")
     )
-    return lookup(df, groups, {k: k for k in keys}, list(facts), "__rows", hot_share)
+    return lookup(df, written(groups, "groups"), {k: k for k in keys}, list(facts), "__rows", hot_share)
 
 
 def mark_repeated(df: DataFrame, cols: Sequence[str], name: str = "repeated") -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, bucketed_counts, running_totals
+from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, running_totals, value_counts, with_buckets
 from rowsmith.operators.align import lookup
 from rowsmith.operators.columns import assemble
+from rowsmith.session import written
 
 # A column's rank table is broadcast up to this many distinct values (a few megabytes).
 BROADCAST_VALUES = 100_000
@@ -22,35 +23,49 @@ def _complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
 
 
-def rank_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> DataFrame:
-    """Rows (column, value, n, rank): the rank of every distinct value, ties averaged."""
-    limits = bucket_limits(df, cols, rows_per_bucket)
-    counts = bucketed_counts(df, cols, limits)
-    return running_totals(counts, ["n"], limits).select(
+def _ranks(counts: DataFrame, rows_per_bucket: int) -> DataFrame:
+    """Rows (column, value, n, rank) from counts with one row per (column, value)."""
+    limits = bucket_limits(counts, rows_per_bucket)
+    return running_totals(with_buckets(counts, limits), ["n"], limits).select(
         "column", "value", "n", (F.col("before_n") + (F.col("n") + 1) / 2).alias("rank")
     )
 
 
-def _replace_by_rank(rows: DataFrame, cols: Sequence[str], ranks: DataFrame) -> tuple[DataFrame, bool]:
-    """Every value replaced by its rank, and whether that takes a shuffle of the rows.
+def rank_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BUCKET_ROWS) -> DataFrame:
+    """Rows (column, value, n, rank): the rank of every distinct value, ties averaged."""
+    return _ranks(value_counts(df, cols), rows_per_bucket)
+
+
+def _replace_by_rank(rows: DataFrame, cols: Sequence[str], ranks: DataFrame) -> DataFrame:
+    """Every value replaced by its rank.
 
     Columns with few distinct values (codes) are served by broadcast tables inside one stage.
-    The others are joined by value, with hot values split off.
+    All others go through one long table (row, column, value): one join with the ranks, in
+    which heavy values are spread, and one grouping back by row. Two narrow shuffles, however
+    many columns there are.
     """
     sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
-    shuffled = False
-    for c in cols:
-        table = ranks.filter(F.col("column") == c).select(
-            F.col("value").alias("__value"), "n", F.col("rank").alias("__rank")
-        )
-        if sizes.get(c, 0) <= BROADCAST_VALUES:
-            small = F.broadcast(table.select("__value", "__rank"))
-            rows = rows.join(small, F.col(c) == F.col("__value"))
-        else:
-            shuffled = True
-            rows = lookup(rows, table, {c: "__value"}, ["__rank"], "n")
-        rows = rows.select(*[F.col("__rank").alias(c) if c == other else other for other in cols])
-    return rows, shuffled
+    codes = [c for c in cols if sizes.get(c, 0) <= BROADCAST_VALUES]
+    wide = [c for c in cols if c not in codes]
+    if wide:
+        # Row ids must not change between the two readings below, so they are written.
+        rows = written(rows.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    for c in codes:
+        table = ranks.filter(F.col("column") == c).select(F.col("value").alias("__value"), F.col("rank").alias("__rank"))
+        rows = rows.join(F.broadcast(table), F.col(c) == F.col("__value"))
+        rows = rows.select(*[F.col("__rank").alias(c) if c == other else other for other in rows.columns if not other.startswith("__") or other == "__row"])
+    if not wide:
+        return rows.select(*cols)
+    table = ranks.filter(F.col("column").isin(wide)).select(
+        F.col("column").alias("__column"), F.col("value").alias("__value"), "n", F.col("rank").alias("__rank")
+    )
+    long = rows.select("__row", *cols).unpivot(["__row", *codes], wide, "column", "value")
+    served = lookup(long, table, {"column": "__column", "value": "__value"}, ["__rank"], "n")
+    back = served.groupBy("__row").agg(
+        *[F.first(c).alias(c) for c in codes],
+        *[F.max(F.when(F.col("column") == c, F.col("__rank"))).alias(c) for c in wide],
+    )
+    return back.select(*cols)
 
 
 def correlation_array(
@@ -59,7 +74,7 @@ def correlation_array(
     """The d x d matrix on the driver; its size depends on the number of columns only.
 
     Spearman's is Pearson's over average ranks. The rank table is kept while the matrix is
-    computed; the ranked rows only where they came out of a shuffle.
+    computed, and so are the ranked rows.
     """
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown correlation method: {method}")
@@ -68,10 +83,8 @@ def correlation_array(
         if method == "spearman":
             ranks = rank_table(rows, cols, rows_per_bucket).persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(ranks)
-            rows, shuffled = _replace_by_rank(rows, cols, ranks)
-            if shuffled:
-                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-                kept.append(rows)
+            rows = _replace_by_rank(rows, cols, ranks).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(rows)
         found = Correlation.corr(assemble(rows, cols).select("features"), "features", "pearson")
         return found.head()[0].toArray()
     finally:
@@ -124,33 +137,35 @@ def _label_pearson(rows: DataFrame, features: Sequence[str], label: str) -> Data
 def _label_spearman(
     rows: DataFrame, features: Sequence[str], label: str, rows_per_bucket: int
 ) -> DataFrame:
-    """Everything the coefficient needs is in the counts of (feature value, label value), so
-    no rank is ever joined back to the rows."""
-    limits = bucket_limits(rows, features, rows_per_bucket)
-    counts = bucketed_counts(rows, features, limits, keep=[label])
-    by_label = running_totals(counts, ["n"], limits).select(
-        "column",
-        label,
-        "n",
-        (F.col("before_n") + (F.col("tied_n") + 1) / 2).alias("rx"),
+    """Everything the coefficient needs is in the counts of (feature value, label value), which
+    one pass over the rows gives. Values of features and of the label are ranked from sums of that
+    table and joined back to it, never to the rows; heavy values are spread in the joins."""
+    pairs = value_counts(rows, features, keep=[label])
+    by_value = written(pairs.groupBy("column", "value").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs")), "values")
+    # Every feature has all rows, so the label's counts are those beside any one of them.
+    of_label = (
+        pairs.filter(F.col("column") == features[0])
+        .groupBy(F.col(label).alias("value"))
+        .agg(F.sum("n").alias("n"))
+        .select(F.lit(label).alias("column"), "value", "n")
     )
-    label_ranks = rank_table(rows.select(label), [label], rows_per_bucket).select(
-        F.col("value").alias(label), F.col("rank").alias("ry")
+    of_label = written(of_label, "labels")
+    beside = pairs.groupBy(F.col(label).alias("value")).agg(F.count(F.lit(1)).alias("pairs"))
+    rx = _ranks(by_value.select("column", "value", "n"), rows_per_bucket).join(
+        by_value.select("column", "value", "pairs"), ["column", "value"]
     )
-    # A class label is broadcast; a continuous one, whose values hardly repeat, is shuffled.
-    if rows.select(label).distinct().limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES:
-        label_ranks = F.broadcast(label_ranks)
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    middle = (total + 1) / 2
+    ry = _ranks(of_label, rows_per_bucket).join(beside, "value")
+    rx = written(rx.select(F.col("column").alias("__column"), F.col("value").alias("__value"), F.col("rank").alias("rx"), "pairs"), "ranks")
+    ry = written(ry.select(F.col("value").alias("__label"), F.col("rank").alias("ry"), "pairs"), "ranks")
+    total = of_label.agg(F.sum("n")).head()[0] or 0
+    middle = F.lit((total + 1) / 2)
     dx, dy = F.col("rx") - middle, F.col("ry") - middle
-    sums = (
-        by_label.join(label_ranks, label)
-        .groupBy("column")
-        .agg(
-            F.sum(F.col("n") * dx * dy).alias("sxy"),
-            F.sum(F.col("n") * dx * dx).alias("sxx"),
-            F.sum(F.col("n") * dy * dy).alias("syy"),
-        )
+    ranked = lookup(pairs, rx, {"column": "__column", "value": "__value"}, ["rx"], "pairs")
+    ranked = lookup(ranked, ry, {label: "__label"}, ["ry"], "pairs")
+    sums = ranked.groupBy("column").agg(
+        F.sum(F.col("n") * dx * dy).alias("sxy"),
+        F.sum(F.col("n") * dx * dx).alias("sxx"),
+        F.sum(F.col("n") * dy * dy).alias("syy"),
     )
     spread = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
     place = F.create_map(*[F.lit(v) for i, c in enumerate(features) for v in (c, i)])

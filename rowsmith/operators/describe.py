@@ -41,7 +41,7 @@ def value_limits(
     pad_rel: float | None = None,
 ) -> DataFrame:
     """Rows (column, low, high): the range of each column, widened by a fixed amount or by
-    a share of each limit."""
+    a share of each limit's size, so that the range always holds its data."""
     ends = df.agg(
         *[F.min(c).cast("double").alias(f"__low{i}") for i, c in enumerate(cols)],
         *[F.max(c).cast("double").alias(f"__high{i}") for i, c in enumerate(cols)],
@@ -50,8 +50,8 @@ def value_limits(
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            (F.col(f"__low{i}") * (1 - share) - shift).alias("low"),
-            (F.col(f"__high{i}") * (1 + share) + shift).alias("high"),
+            (F.col(f"__low{i}") - F.abs(f"__low{i}") * share - shift).alias("low"),
+            (F.col(f"__high{i}") + F.abs(f"__high{i}") * share + shift).alias("high"),
         )
         for i, c in enumerate(cols)
     ]

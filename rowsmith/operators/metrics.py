@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, bucketed_counts, running_totals
+from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, running_totals, value_counts, with_buckets
 
 
 def confusion(pred: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -117,20 +117,19 @@ def auc_roc(
     """One row (auc, positives, negatives): the exact area under the ROC curve, where a tie
     between a positive and a negative counts half. Null unless both classes occur.
 
-    Small jobs size the value buckets, as for the rank tables of correlations.
+    One pass counts the rows of every score; all else reads those counts.
     """
     rows = scored.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).dropna()
     is_positive = F.col("label") == positive
     rows = rows.select("score", is_positive.cast("int").alias("hit"))
-    limits = bucket_limits(rows, ["score"], rows_per_bucket)
-    per_score = bucketed_counts(
+    per_score = value_counts(
         rows,
         ["score"],
-        limits,
         carry=["hit"],
         amounts={"pos": F.sum("hit"), "neg": F.sum(1 - F.col("hit"))},
     )
-    ranked = running_totals(per_score, ["neg"], limits)
+    limits = bucket_limits(per_score, rows_per_bucket)
+    ranked = running_totals(with_buckets(per_score, limits), ["neg"], limits)
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
     return ranked.agg(
         F.sum(won).alias("won"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
