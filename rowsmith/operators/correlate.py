@@ -16,6 +16,7 @@ from rowsmith.session import written
 
 # A column's rank table is broadcast up to this many distinct values (a few megabytes).
 BROADCAST_VALUES = 100_000
+BROADCAST_COLUMNS = 16
 
 
 def _complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -40,12 +41,12 @@ def _replace_by_rank(rows: DataFrame, cols: Sequence[str], ranks: DataFrame) ->
     """Every value replaced by its rank.
 
     Columns with few distinct values (codes) are served by broadcast tables inside one stage.
-    All others go through one long table (row, column, value): one join with the ranks, in
+    All others, and codes beyond the first sixteen, go through one long table (row, column, value): one join with the ranks, in
     which heavy values are spread, and one grouping back by row. Two narrow shuffles, however
     many columns there are.
     """
     sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
-    codes = [c for c in cols if sizes.get(c, 0) <= BROADCAST_VALUES]
+    codes = [c for c in cols if sizes.get(c, 0) <= BROADCAST_VALUES][:BROADCAST_COLUMNS]
     wide = [c for c in cols if c not in codes]
     if wide:
         # Row ids must not change between the two readings below, so they are written.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowsmith.functions.expressions import tidy
+from rowsmith.functions.expressions import hash_below, tidy
 from rowsmith.operators.align import align, align_by_position, align_outer, with_position
 from rowsmith.operators.columns import (
     assemble,
@@ -18,7 +18,7 @@ from rowsmith.operators.columns import (
     union_classes,
     with_row_id,
 )
-from rowsmith.operators.resample import train_test_split
+from rowsmith.operators.resample import SPLIT_SEED
 from rowsmith.plans.inputs import LABEL_SQL, LINE_FEATURES, LINE_SQL, PREP_FEATURES, PREP_SQL, line, outcome, prep
 from rowsmith.plans.registry import query
 from rowsmith.session import scratch_path
@@ -157,6 +157,26 @@ def j2_position(spark: SparkSession, folder: str) -> DataFrame:
     return align_by_position(rows.select(*LINE_FEATURES), rows.select("label"))
 
 
+@query("j2_align_by_position_files", f"WITH {LINE_SQL} SELECT * FROM line")
+def j2_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Features and label stored as folders of five and three files of unequal sizes, in one order."""
+    rows = with_position(line(spark, folder))
+    last = rows.agg(F.max("position")).head()[0] or 0
+    read = []
+    for cols, parts in ((LINE_FEATURES, 5), (["label"], 3)):
+        # Small and large files in turn: Spark deals them out by size, not by name.
+        bounds = [last * (2 * i - (i % 2)) // (2 * parts) for i in range(1, parts)]
+        part = F.lit(0)
+        for bound in bounds:
+            part = part + (F.col("position") > bound).cast("int")
+        path = scratch_path(spark, "parts")
+        dealt = rows.withColumn("part", part)
+        for i in range(parts):
+            dealt.filter(F.col("part") == i).coalesce(1).sortWithinPartitions("position").select(*cols).write.parquet(f"{path}/piece-{i}")
+        read.append(spark.read.parquet(*[f"{path}/piece-{i}" for i in range(parts)]))
+    return align_by_position(*read)
+
+
 @query(
     "j3_paired_split",
     f"""WITH {PREP_SQL} SELECT o_orderkey, price, label,
@@ -168,5 +188,6 @@ def j3(spark: SparkSession, folder: str) -> DataFrame:
     """Features joined to labels by key before the split: every row keeps its own label and
     there are as many rows as before, not features x labels."""
     x, y = split_xy(prep(spark, folder).select("o_orderkey", "price", "label"), "label", "o_orderkey")
-    train, test = train_test_split(align(x, y, "o_orderkey"), "o_orderkey")
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    # One pass: the part is a column, not two filters and a union.
+    in_train = hash_below("o_orderkey", SPLIT_SEED, 0.8)
+    return align(x, y, "o_orderkey").withColumn("part", F.when(in_train, "train").otherwise("test"))

@@ -15,10 +15,13 @@ from rowsmith.operators.correlate import (
 )
 from rowsmith.operators.quality import clean
 from rowsmith.plans.inputs import (
+    EMB_DIMS,
+    EMB_LONG_SQL,
     LINE_FEATURES,
     LINE_SQL,
     PREP_FEATURES,
     PREP_SQL,
+    emb,
     line,
     prep,
 )
@@ -64,6 +67,19 @@ def _rounded(matrix: DataFrame) -> DataFrame:
     return matrix.select("feature", *[tidy(c).alias(c) for c in matrix.columns if c != "feature"])
 
 
+@query(
+    "a8_spearman_vectors",
+    f"""WITH {EMB_LONG_SQL}, ranks AS (
+          SELECT vec_id, i, rank() OVER (PARTITION BY i ORDER BY v)
+                 + (count(*) OVER (PARTITION BY i, v) - 1) / 2 AS r FROM emb_long)
+        SELECT 'e' || a.i AS feature_a, 'e' || b.i AS feature_b, round(corr(a.r, b.r), 6) + 0.0 AS corr
+        FROM ranks AS a JOIN ranks AS b USING (vec_id) GROUP BY a.i, b.i""",
+)
+def a8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixty-four continuous columns: ranks go through one long table."""
+    return correlation_long(emb(spark, folder), EMB_DIMS).withColumn("corr", tidy("corr"))
+
+
 @query("a6_pearson_matrix", f"WITH {LINE_SQL} {_matrix_sql('line', _LINE_ALL)}")
 def a6(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(pearson_matrix(line(spark, folder), _LINE_ALL))

@@ -23,11 +23,19 @@ from rowsmith.operators.reduce import (
     pca_project,
     top_contributors,
 )
-from rowsmith.plans.inputs import LINE_FEATURES, LINE_SQL, PREP_SQL, emb, emb_sql, line, prep
+from rowsmith.plans.inputs import (
+    EMB_DIMS,
+    EMB_LONG_SQL,
+    LINE_FEATURES,
+    LINE_SQL,
+    PREP_FEATURES,
+    PREP_SQL,
+    emb,
+    line,
+    prep,
+)
 from rowsmith.plans.registry import query
 
-_DIMS = [f"e{i}" for i in range(1, 9)]
-
 # Two columns: the angle of the first axis and both eigenvalues.
 _ANGLE_SQL = f"""
 WITH {PREP_SQL}, moments AS (
@@ -42,19 +50,19 @@ _PAIR = ["month", "priority"]
 
 @query(
     "l1_pca_fit",
-    f"WITH {emb_sql()}, whole AS (SELECT "
-    + " + ".join(f"var_samp({c})" for c in _DIMS)
-    + " AS total FROM emb) "
+    f"WITH {PREP_SQL}, whole AS (SELECT "
+    + " + ".join(f"var_samp({c})" for c in PREP_FEATURES)
+    + " AS total FROM prep) "
     + " UNION ALL ".join(
         f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b,
-            round(covar_samp({a}, {b}) / any_value(total), 6) + 0.0 AS share FROM emb, whole"""
-        for a in _DIMS
-        for b in _DIMS
+            round(covar_samp({a}, {b}) / any_value(total), 6) + 0.0 AS share FROM prep, whole"""
+        for a in PREP_FEATURES
+        for b in PREP_FEATURES
     ),
 )
 def l1(spark: SparkSession, folder: str) -> DataFrame:
-    """All eight components; the covariance shares are rebuilt from them."""
-    return _rebuilt(pca_fit(emb(spark, folder), _DIMS))
+    """All components of the order features; the covariance shares are rebuilt from them."""
+    return _rebuilt(pca_fit(prep(spark, folder), PREP_FEATURES))
 
 
 def _rebuilt(fitted: DataFrame) -> DataFrame:
@@ -66,16 +74,15 @@ def _rebuilt(fitted: DataFrame) -> DataFrame:
 
 @query(
     "l1_pca_fit_vectors",
-    """WITH long AS (SELECT vec_id, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v
-                     FROM embeddings),
-         total AS (SELECT sum(var) AS total FROM (SELECT var_samp(v) AS var FROM long GROUP BY i))
+    f"""WITH {EMB_LONG_SQL},
+         total AS (SELECT sum(var) AS total FROM (SELECT var_samp(v) AS var FROM emb_long GROUP BY i))
        SELECT 'e' || a.i AS feature_a, 'e' || b.i AS feature_b,
               round(covar_samp(a.v, b.v) / any_value(total), 6) + 0.0 AS share
-       FROM long AS a JOIN long AS b USING (vec_id), total GROUP BY a.i, b.i""",
+       FROM emb_long AS a JOIN emb_long AS b USING (vec_id), total GROUP BY a.i, b.i""",
 )
 def l1_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The same over the whole vectors, with all sixty-four components."""
-    return _rebuilt(pca_fit(emb(spark, folder, 64), [f"e{i}" for i in range(1, 65)]))
+    return _rebuilt(pca_fit(emb(spark, folder), EMB_DIMS))
 
 
 @query(
@@ -195,13 +202,13 @@ def l4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "l4_factor_eigenvalues_many",
-    f"WITH {emb_sql()} SELECT CAST(8 AS BIGINT) AS factors, 8.0::DOUBLE AS total, round("
-    + " + ".join(f"power(corr({a}, {b}), 2)" for a in _DIMS for b in _DIMS)
-    + ", 6) + 0.0 AS squares FROM emb",
+    f"""WITH {EMB_LONG_SQL}, r AS (
+          SELECT corr(a.v, b.v) AS r FROM emb_long AS a JOIN emb_long AS b USING (vec_id) GROUP BY a.i, b.i)
+        SELECT CAST(64 AS BIGINT) AS factors, 64.0::DOUBLE AS total, round(sum(r * r), 6) + 0.0 AS squares FROM r""",
 )
 def l4_many(spark: SparkSession, folder: str) -> DataFrame:
     """Eigenvalues add up to the columns, their squares to all squared correlations."""
-    found = factor_eigenvalues(emb(spark, folder), _DIMS)
+    found = factor_eigenvalues(emb(spark, folder), EMB_DIMS)
     return found.agg(
         F.count(F.lit(1)).alias("factors"),
         tidy(F.sum("eigenvalue")).alias("total"),
@@ -216,11 +223,11 @@ def l4_many(spark: SparkSession, folder: str) -> DataFrame:
 def l5(spark: SparkSession, folder: str) -> DataFrame:
     """Gate: every row has one of k clusters, and no row is far nearer to another cluster's
     mean than to its own."""
-    rows = kmeans_clusters(emb(spark, folder), _DIMS, 5)
-    means = rows.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in _DIMS])
+    rows = kmeans_clusters(emb(spark, folder), EMB_DIMS, 5)
+    means = rows.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in EMB_DIMS])
     # Five rows, gathered into one array that each row is compared with.
-    centres = means.agg(F.collect_list(F.struct("cluster", F.array(*_DIMS).alias("at"))).alias("all"))
-    own = F.array(*_DIMS)
+    centres = means.agg(F.collect_list(F.struct("cluster", F.array(*EMB_DIMS).alias("at"))).alias("all"))
+    own = F.array(*EMB_DIMS)
 
     def distance(centre: Column) -> Column:
         gaps = F.zip_with(own, centre["at"], lambda a, b: (a - b) * (a - b))
@@ -247,7 +254,7 @@ def l5(spark: SparkSession, folder: str) -> DataFrame:
 )
 def l5_curve(spark: SparkSession, folder: str) -> DataFrame:
     """Gate: the cost falls as k doubles, in a projection onto three components."""
-    curve = kmeans_cost_curve(emb(spark, folder), _DIMS, [2, 4, 8], components=3)
+    curve = kmeans_cost_curve(emb(spark, folder), EMB_DIMS, [2, 4, 8], components=3)
     before = F.lag("cost").over(Window.partitionBy(F.lit(1)).orderBy("k"))
     return curve.select("k", F.coalesce(F.col("cost") <= before * 1.001, F.lit(True)).alias("falling"))
 

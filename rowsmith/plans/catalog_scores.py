@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from rowsmith.functions.expressions import tidy
 from rowsmith.operators.align import pending
@@ -72,26 +73,25 @@ def j4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "r1_run_pending",
-    f"""WITH {SCORES_SQL}, sets AS (
-          SELECT sampling, 'all' AS feature_set, model, accuracy, precision, recall, f1,
-                 seconds, tp, fn FROM scores WHERE feature_set = 'line_1')
-        SELECT sampling, feature_set, model,
-               {_MEASURES_SQL}, CAST(tp + fn AS VARCHAR) AS positives
-        FROM sets""",
+    f"WITH {SCORES_SQL} {_TIDY_SQL}",
 )
 def r1(spark: SparkSession, folder: str) -> DataFrame:
-    """A plan of six experiments of which two are stored: four run, and the stored ones,
+    """A plan of all experiments of which a third is stored: the others run, and the stored ones,
     whose rerun would fail, are left alone."""
-    found = scores(spark, folder).filter(F.col("feature_set") == "line_1").withColumn("feature_set", F.lit("all"))
+    found = scores(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, "score-table")
-    append_scores(_stored(found), path)
 
     def run(sampling: str, feature_set: str, model: str) -> DataFrame:
         if sampling == "F" and model != "by_tax":
             raise AssertionError("a stored experiment ran again")
-        return found.filter((F.col("sampling") == sampling) & (F.col("model") == model))
-
-    return _shown(run_pending(found.select(*SCORE_KEYS), path, run))
+        mine = (F.col("sampling") == sampling) & (F.col("feature_set") == feature_set) & (F.col("model") == model)
+        return found.filter(mine)
+
+    try:
+        append_scores(_stored(found), path)
+        return _shown(run_pending(found.select(*SCORE_KEYS), path, run))
+    finally:
+        found.unpersist()
 
 
 def _pivot_sql(rows: str, pivot: str, names: list[str]) -> str:

@@ -16,6 +16,7 @@ from rowsmith.operators.metrics import all_metrics, audit_scores, auc_roc
 from rowsmith.operators.resample import oversample, train_test_split
 from rowsmith.operators.train import (
     MODEL_KEYS,
+    TUNED_VALUES,
     experiment,
     fit_score,
     grid_search,
@@ -107,14 +108,14 @@ def _expected(rows: list[str], columns: str) -> str:
 
 @query(
     "t2_grid_search",
-    """SELECT CAST(4 AS BIGINT) AS points, true AS in_range, true AS best_is_highest,
+    """SELECT CAST(2 AS BIGINT) AS points, true AS in_range, true AS best_is_highest,
               true AS held_out_well""",
 )
 def t2(spark: SparkSession, folder: str) -> DataFrame:
     """Gate: an average per grid point, the best one chosen, and a good hold-out AUC."""
     train, test = train_test_split(_texts(spark, folder), "doc_id")
     model = make_model("lr", "label", len(_TEXT))
-    grid = param_grid(model, {"maxIter": [10, 50], "regParam": [0.01, 0.1]})
+    grid = param_grid(model, TUNED_VALUES["lr"])
     found = grid_search(model, grid, assemble(train, _TEXT), "label", key="doc_id")
     points = [(a, found.points[i] == found.best_params) for i, a in enumerate(found.averages)]
     averages = spark.createDataFrame(points, "average double, chosen boolean")
@@ -128,10 +129,7 @@ def t2(spark: SparkSession, folder: str) -> DataFrame:
     return gate.withColumn("held_out_well", auc > 0.8)
 
 
-_TUNED = {
-    "dt": {"maxDepth": [5, 10], "minInstancesPerNode": [1, 2]},
-    "nb": {"smoothing": [1.0, 10.0]},
-}
+_TUNED = {key: TUNED_VALUES[key] for key in ("dt", "nb")}
 
 
 @query(
@@ -174,7 +172,7 @@ def t3(spark: SparkSession, folder: str) -> DataFrame:
     the refitted model has them."""
     train, _ = train_test_split(_texts(spark, folder), "doc_id")
     model = make_model("dt", "label", len(_TEXT))
-    values = {"maxDepth": [2, 4], "minInstancesPerNode": [1, 2]}
+    values = TUNED_VALUES["dt"]
     found = grid_search(model, param_grid(model, values), assemble(train, _TEXT), "label", key="doc_id")
     refitted = found.model.bestModel
     rows = [
@@ -191,9 +189,9 @@ def t3(spark: SparkSession, folder: str) -> DataFrame:
 def t4(spark: SparkSession, folder: str) -> DataFrame:
     """Gate: every layer plan of the network's grid is fitted and gets an average."""
     train, _ = train_test_split(_texts(spark, folder), "doc_id")
-    model = make_model("mlp", "label", len(_TEXT)).setMaxIter(10)
+    model = make_model("mlp", "label", len(_TEXT))
     grid = param_grid(model, {}, len(_TEXT))
-    found = grid_search(model, grid, assemble(train, _TEXT), "label", folds=2, key="doc_id")
+    found = grid_search(model, grid, assemble(train, _TEXT), "label", key="doc_id")
     rows = [(str(p["layers"]), 0 <= a <= 1) for p, a in zip(found.points, found.averages)]
     return spark.createDataFrame(rows, "layers string, scored boolean")
 
@@ -235,31 +233,24 @@ def t5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_RUNS = [(s, m) for s in ("down", "ub", "up") for m in ("dt", "nb")]
+# Two feature sets: all text statistics, and those of length alone.
+_SETS = {"text": _TEXT, "length": ["log_chars", "log_words", "log_distinct"]}
+_STRATEGIES = ("down", "ub", "up")
+_QUICK = ("dt", "nb")
 
 
-@query(
-    "t6_experiment",
-    _expected(
-        [f"'{s}', 'text', '{m}'" for s, m in _RUNS],
-        "col0 AS sampling, col1 AS feature_set, col2 AS model, true AS timed, true AS consistent",
-    ),
-)
-def t6(spark: SparkSession, folder: str) -> DataFrame:
-    """Gate: one stored row per planned experiment, timed, and with scores that one confusion
-    table of the hold-out can give."""
+def _runs_sql(models: tuple[str, ...]) -> str:
+    runs = [f"'{s}', '{f}', '{m}'" for s in _STRATEGIES for f in _SETS for m in models]
+    return _expected(runs, "col0 AS sampling, col1 AS feature_set, col2 AS model, true AS timed, true AS consistent")
+
+
+def _experiments(spark: SparkSession, folder: str, models: tuple[str, ...], search: bool) -> DataFrame:
     rows = _texts(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _, test = train_test_split(rows, "doc_id")
         size = test.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("p")).head()
         found = experiment(
-            rows,
-            "doc_id",
-            "label",
-            {"text": _TEXT},
-            models=("dt", "nb"),
-            path=scratch_path(spark, "score-table"),
-            search=False,
+            rows, "doc_id", "label", _SETS, models=models, path=scratch_path(spark, "score-table"), search=search
         )
     finally:
         rows.unpersist()
@@ -267,3 +258,16 @@ def t6(spark: SparkSession, folder: str) -> DataFrame:
     return audited.select(
         "sampling", "feature_set", "model", (F.col("seconds") > 0).alias("timed"), "consistent"
     )
+
+
+@query("t6_experiment", _runs_sql(tuple(MODEL_KEYS)))
+def t6(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate: all seven models over two feature sets and three samplings. One stored row per planned
+    experiment, timed, and with scores that one confusion table of the hold-out can give."""
+    return _experiments(spark, folder, tuple(MODEL_KEYS), search=False)
+
+
+@query("t6_experiment_tuned", _runs_sql(_QUICK))
+def t6_tuned(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every model tuned by three-fold cross-validation, for the two that fit fast."""
+    return _experiments(spark, folder, _QUICK, search=True)

@@ -87,16 +87,20 @@ def doc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Vectors, opened into their first dimensions.
-def emb(spark: SparkSession, folder: str, dims: int = 8) -> DataFrame:
+# Vectors, opened into all of their dimensions.
+EMB_DIMS = [f"e{i}" for i in range(1, 65)]
+
+
+def emb(spark: SparkSession, folder: str) -> DataFrame:
     vectors = load_table(spark, folder, "embeddings")
-    parts = [F.element_at("embedding", i + 1).cast("double").alias(f"e{i + 1}") for i in range(dims)]
+    parts = [F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate(EMB_DIMS)]
     return vectors.select("vec_id", "label", *parts)
 
 
-def emb_sql(dims: int = 8) -> str:
-    parts = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i + 1}" for i in range(dims))
-    return f"emb AS (SELECT vec_id, label, {parts} FROM embeddings)"
+# One row per vector and dimension.
+EMB_LONG_SQL = """
+emb_long AS (SELECT vec_id, unnest(range(1, 65)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+"""
 
 
 # Predictions without a model: one judgement taken as a forecast of the other.
