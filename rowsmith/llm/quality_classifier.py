@@ -110,7 +110,8 @@ def resample(
     """
     good = labels.filter(F.col(quality_col) == 1).select(F.col(id_col).alias("id")).distinct().withColumn("t", F.lit(True))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    weights = fit_weights(rows.join(good, "id", "left"), "text", "t", buckets)
+    # The labels grow with the documents, so they are never broadcast; the texts move once.
+    weights = fit_weights(rows.join(good.hint("merge"), "id", "left"), "text", "t", buckets)
     weight = log_weight(F.col("text"), weights)
     noise = gumbel(F.col("id"), F.xxhash64("text"), seed=seed)
     scored = materialise(
