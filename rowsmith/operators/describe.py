@@ -112,53 +112,91 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     )
 
 
-def density(
-    df: DataFrame, col: str, grid: int = 200, bins: int = 30, prebin: int | None = None
+def densities(
+    df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30, prebin: int | None = None
 ) -> DataFrame:
-    """Rows (point, x, density, scaled): a Gaussian kernel density on ``grid`` points.
+    """Rows (column, point, x, density, scaled): a Gaussian kernel density of every column on
+    ``grid`` points. Columns without two different values are left out.
 
     The bandwidth is Scott's, s * n**(-1/5); ``scaled`` matches the counts of a histogram
-    with ``bins`` bins. One small job reads the ends, spread and size first.
+    with ``bins`` bins. One small job reads the ends, spread and size of all columns first.
 
-    Every value adds to every grid point, so the cost is values x grid, all of it before a
-    shuffle of ``grid`` rows per task. Values that repeat are counted first; values that do
-    not are used as they stream by. ``prebin`` trades exactness for speed by moving values to
-    the middle of that many equal cells.
+    Every value adds to every grid point; the sums of all points are one aggregate, so no row is
+    multiplied and the shuffle moves a row per column and task. Values that repeat are counted
+    first; values that do not are used as they stream by. ``prebin`` trades exactness for speed
+    by moving values to the middle of that many equal cells.
     """
-    value = _number(col)
-    facts = df.agg(
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        F.stddev_samp(value).alias("spread"),
-        F.count(value).alias("n"),
-        F.approx_count_distinct(value).alias("distinct"),
+    found = _densities(df, cols, grid, bins, prebin)
+    if found is None:
+        return df.sparkSession.createDataFrame([], "column string, point int, x double, density double, scaled double")
+    return found
+
+
+def _densities(df: DataFrame, cols: Sequence[str], grid: int, bins: int, prebin: int | None) -> DataFrame | None:
+    """None if no column has two different values."""
+    found = df.agg(
+        *[
+            F.struct(
+                F.min(_number(c)).alias("low"),
+                F.max(_number(c)).alias("high"),
+                F.stddev_samp(_number(c)).alias("spread"),
+                F.count(_number(c)).alias("n"),
+                F.approx_count_distinct(_number(c)).alias("distinct"),
+            ).alias(f"__facts{i}")
+            for i, c in enumerate(cols)
+        ]
     ).head()
-    n, spread = facts["n"], facts["spread"]
-    if n < 2 or not spread > 0:
-        raise ValueError(f"a density of {col} needs at least two different values")
-    low, high = facts["low"], facts["high"]
-    width = spread * n ** (-0.2)
-    values = df.select(value.alias("v")).filter(F.col("v").isNotNull())
-    if prebin is not None:
-        cell = (high - low) / prebin
-        index = F.least(F.floor((F.col("v") - low) / cell), F.lit(prebin - 1))
-        values = values.select((F.lit(low) + (index + 0.5) * cell).alias("v"))
-    if prebin is not None or facts["distinct"] * 4 < n:
-        weighted = values.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    else:
-        weighted = values.withColumn("w", F.lit(1))
-    step = (high - low) / (grid - 1)
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    kernel = F.exp(-0.5 * ((x - F.col("v")) / width) * ((x - F.col("v")) / width))
-    heights = (
-        weighted.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-        .groupBy("point")
-        .agg(F.sum(F.col("w") * kernel).alias("height"))
+    facts = {c: found[i] for i, c in enumerate(cols)}
+    facts = {c: f for c, f in facts.items() if f["n"] >= 2 and f["spread"] and f["spread"] > 0}
+    rows = [
+        (c, float(f["low"]), (f["high"] - f["low"]) / (grid - 1), f["spread"] * f["n"] ** (-0.2), float(f["n"]))
+        for c, f in facts.items()
+    ]
+    known = df.sparkSession.createDataFrame(rows, "column string, low double, step double, width double, n double")
+    plain = [c for c, f in facts.items() if prebin is None and f["distinct"] * 4 >= f["n"]]
+    counted = [c for c in facts if c not in plain]
+    parts = []
+    for names in (plain, counted):
+        if not names:
+            continue
+        part = df.select(*[_number(c).alias(c) for c in names]).unpivot([], names, "column", "v").filter("v is not null")
+        part = part.join(F.broadcast(known), "column")  # one row per column
+        if names is counted:
+            if prebin is not None:
+                cell = F.col("step") * (grid - 1) / prebin
+                index = F.least(F.floor((F.col("v") - F.col("low")) / cell), F.lit(prebin - 1))
+                part = part.withColumn("v", F.col("low") + (index + 0.5) * cell)
+            part = part.groupBy("column", "low", "step", "width", "n", "v").agg(F.count(F.lit(1)).alias("w"))
+        else:
+            part = part.withColumn("w", F.lit(1).cast("long"))
+        parts.append(part.select("column", "low", "step", "width", "n", "v", "w"))
+    if not parts:
+        return None
+    every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def height(point: int) -> Column:
+        away = (F.col("low") + F.lit(point) * F.col("step") - F.col("v")) / F.col("width")
+        return F.sum(F.col("w") * F.exp(away * away * -0.5)).alias(f"h{point}")
+
+    heights = every.groupBy("column", "low", "step", "width", "n").agg(*[height(p) for p in range(grid)])
+    points = heights.select(
+        "column", "low", "step", "width", "n", F.posexplode(F.array(*[f"h{p}" for p in range(grid)])).alias("point", "height")
     )
-    per_value = 1.0 / (n * width * math.sqrt(2 * math.pi))
-    return heights.select(
+    share = F.col("height") / (F.col("n") * F.col("width") * math.sqrt(2 * math.pi))
+    return points.select(
+        "column",
         "point",
-        x.alias("x"),
-        (F.col("height") * per_value).alias("density"),
-        (F.col("height") * (per_value * n * (high - low) / bins)).alias("scaled"),
+        (F.col("low") + F.col("point") * F.col("step")).alias("x"),
+        share.alias("density"),
+        (share * F.col("n") * F.col("step") * (grid - 1) / bins).alias("scaled"),
     )
+
+
+def density(
+    df: DataFrame, col: str, grid: int = 200, bins: int = 30, prebin: int | None = None
+) -> DataFrame:
+    """Rows (point, x, density, scaled) of one column, which must have two different values."""
+    found = _densities(df, [col], grid, bins, prebin)
+    if found is None:
+        raise ValueError(f"a density of {col} needs at least two different values")
+    return found.drop("column")

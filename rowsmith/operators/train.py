@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rowsmith.operators.columns import assemble
@@ -75,7 +75,11 @@ TUNED_VALUES = {
 def param_grid(
     model: Estimator, values: Mapping[str, Sequence], features: int | None = None
 ) -> list[dict]:
-    """All combinations of the values; a network also gets its layer plans."""
+    """All combinations of the values; a network also gets its layer plans, and the solver that
+    heeds a step size when the values have one."""
+    if "stepSize" in values and model.hasParam("solver"):
+        # A step size takes effect in plain gradient descent only.
+        values = {**values, "solver": ["gd"]}
     builder = ParamGridBuilder()
     for name, options in values.items():
         builder = builder.addGrid(model.getParam(name), list(options))
@@ -171,6 +175,11 @@ def split_and_resample(
     shares and no copy of a training row. ``resample_first`` resamples everything first.
     """
     change = SAMPLINGS[sampling]
+    if resample_first and sampling == "up":
+        # Copies are split one by one, as in the published order: a row can be on both sides.
+        rows = oversample(df, label, key).withColumn("__copy", F.concat_ws("#", F.col(key).cast("string"), "copy"))
+        train, test = train_test_split(rows, "__copy")
+        return train.drop("copy", "__copy"), test.drop("copy", "__copy")
     if resample_first:
         return train_test_split(change(df, label, key), key)
     train, test = train_test_split(df, key)

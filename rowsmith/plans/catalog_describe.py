@@ -9,6 +9,7 @@ from rowsmith.operators.describe import (
     class_counts,
     class_ratio,
     count_where,
+    densities,
     density,
     histogram,
     value_limits,
@@ -100,6 +101,22 @@ def a5_codes(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(density(load_table(spark, folder, "lineitem"), "l_quantity"))
 
 
+_DENSITY_COLUMNS = [*LINE_FEATURES, "l_extendedprice"]
+
+
+@query(
+    "a5_densities",
+    " UNION ALL ".join(f"""SELECT '{c}' AS "column", * FROM ({_density_sql('lineitem', c)})""" for c in _DENSITY_COLUMNS),
+)
+def a5_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns in one call; a constant column beside them is left out."""
+    rows = load_table(spark, folder, "lineitem").withColumn("constant", F.lit(1))
+    found = densities(rows, [*_DENSITY_COLUMNS, "constant"])
+    return found.select(
+        "column", "point", tidy("x").alias("x"), tidy("density").alias("density"), tidy("scaled", 4).alias("scaled")
+    )
+
+
 @query(
     "a11_value_limits",
     f"WITH {PREP_SQL} "

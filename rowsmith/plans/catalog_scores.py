@@ -16,6 +16,7 @@ from rowsmith.sources.score_store import (
     MEASURES,
     SCORE_KEYS,
     append_scores,
+    broken_documents,
     read_scores,
     write_scores_json,
 )
@@ -41,6 +42,27 @@ def s4(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(read_scores(spark, f"{path}/*/*", sampling_pattern="sampling=([^/]+)/"))
 
 
+@query(
+    "s4_broken_documents",
+    f"""WITH {SCORES_SQL} SELECT sampling, count(*) AS experiments, CAST(1 AS BIGINT) AS broken,
+        true AS named FROM scores GROUP BY sampling""",
+)
+def s4_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """A store of one document per sampling and one that is cut short: the others are read, the
+    broken one is named."""
+    path = write_scores_json(scores(spark, folder), scratch_path(spark, "score-documents"))
+    cut = spark.createDataFrame([('{"line_1": {"by_tax": {"accuracy": 0.5, ',)], "value string")
+    cut.coalesce(1).write.text(f"{path}/sampling=broken")
+    files = f"{path}/*/part-*"
+    bad = broken_documents(spark, files).agg(
+        F.count(F.lit(1)).alias("broken"), F.every(F.contains("file", F.lit("sampling=broken"))).alias("named")
+    )
+    read = read_scores(spark, files, sampling_pattern="sampling=([^/]+)/", mode="drop")
+    counts = read.groupBy("sampling").agg(F.count(F.lit(1)).alias("experiments"))
+    row = bad.head()
+    return counts.withColumn("broken", F.lit(row["broken"]).cast("long")).withColumn("named", F.lit(row["named"]))
+
+
 @query("s5_append_scores", f"WITH {SCORES_SQL} {_TIDY_SQL}")
 def s5(spark: SparkSession, folder: str) -> DataFrame:
     """Stored in two batches; the second repeats stored keys with worse scores, which must

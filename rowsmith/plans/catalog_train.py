@@ -196,6 +196,16 @@ def t4(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "layers string, scored boolean")
 
 
+@query("t4_step_size", _expected(["0.01, 'gd'", "0.1, 'gd'"], "CAST(col0 AS DOUBLE) AS step, col1 AS solver, true AS scored"))
+def t4_step(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate: with step sizes in the grid the network is fitted by the solver that heeds them."""
+    train, _ = train_test_split(_texts(spark, folder), "doc_id")
+    model = make_model("mlp", "label", len(_TEXT))
+    found = grid_search(model, param_grid(model, {"stepSize": [0.01, 0.1]}), assemble(train, _TEXT), "label", key="doc_id")
+    rows = [(float(p["stepSize"]), p["solver"], 0 <= a <= 1) for p, a in zip(found.points, found.averages)]
+    return spark.createDataFrame(rows, "step double, solver string, scored boolean")
+
+
 def _with_score(scored: DataFrame) -> DataFrame:
     """The score of class 1: its probability, or the raw margin where a model has none."""
     vector = "probability" if "probability" in scored.columns else "rawPrediction"

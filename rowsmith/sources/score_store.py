@@ -6,6 +6,7 @@ file, and spread over the cluster by file; each holds one sampling strategy's ex
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -33,32 +34,59 @@ def _path_missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
 
 
+def _parsed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
+    """Rows (file, document), the document null where the file is broken; None without files."""
+    try:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as error:
+        if _path_missing(error):
+            return None
+        raise
+    document = F.from_json("value", DOCUMENT_TYPE, {"mode": "PERMISSIVE"})
+    return files.select(F.input_file_name().alias("file"), document.alias("document"))
+
+
+def broken_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Rows (file): the score documents that cannot be read."""
+    found = _parsed(spark, path)
+    if found is None:
+        return spark.createDataFrame([], "file string")
+    return found.filter(F.col("document").isNull()).select("file")
+
+
 def read_scores(
     spark: SparkSession,
     path: str | Sequence[str],
     sampling: str | None = None,
     sampling_pattern: str = r"([^/_]+)\.json$",
+    mode: str = "warn",
 ) -> DataFrame:
-    """Tidy rows of score documents; an absent path or broken document gives no rows.
+    """Tidy rows of score documents; an absent path gives no rows.
+
+    A broken document must not pass for an empty store. ``mode`` says what happens: ``warn`` names the
+    files and reads the others, ``raise`` stops, ``drop`` reads the others without a word.
+    :func:`broken_documents` lists them as a table.
 
     The sampling name is ``sampling`` or what ``sampling_pattern`` finds in the file name.
     Parameter values keep their JSON text, so numbers and lists both fit.
     """
-    try:
-        files = spark.read.text(path, wholetext=True)
-    except AnalysisException as error:
-        if _path_missing(error):
-            return empty_scores(spark)
-        raise
+    if mode not in ("warn", "raise", "drop"):
+        raise ValueError(f"unknown mode: {mode}")
+    files = _parsed(spark, path)
+    if files is None:
+        return empty_scores(spark)
+    if mode != "drop":
+        bad = [r["file"] for r in broken_documents(spark, path).limit(20).collect()]  # names for a message
+        if bad and mode == "raise":
+            raise ValueError(f"broken score documents: {', '.join(bad)}")
+        if bad:
+            warnings.warn(f"broken score documents: {', '.join(bad)}", stacklevel=2)
     name = (
         F.lit(sampling)
         if sampling is not None
-        else F.regexp_extract(F.input_file_name(), sampling_pattern, 1)
-    )
-    documents = files.select(
-        name.alias("sampling"),
-        F.from_json("value", DOCUMENT_TYPE, {"mode": "PERMISSIVE"}).alias("document"),
+        else F.regexp_extract("file", sampling_pattern, 1)
     )
+    documents = files.select(name.alias("sampling"), "document")
     models = documents.select("sampling", F.explode("document").alias("feature_set", "models"))
     rows = models.select("sampling", "feature_set", F.explode("models").alias("model", "score"))
     return rows.select(
@@ -70,10 +98,10 @@ def read_scores(
 
 
 def write_scores_json(scores: DataFrame, path: str) -> str:
-    """Write one nested JSON document per (sampling, feature set), in folders by sampling.
+    """Write one nested JSON document per sampling, with all of its feature sets, in folders by sampling.
 
-    A document holds one feature set's models, so its size is bounded by the number of
-    models tried, not by the data. Read it back with a pattern on ``sampling=``.
+    A document's size is bounded by the number of experiments, not by the data. Read it back with a
+    pattern on ``sampling=``.
     """
     entry = F.struct(
         F.col("model").alias("key"),
@@ -82,10 +110,9 @@ def write_scores_json(scores: DataFrame, path: str) -> str:
     per_set = scores.groupBy("sampling", "feature_set").agg(
         F.map_from_entries(F.collect_list(entry)).alias("models")
     )
-    documents = per_set.select(
-        "sampling", "feature_set", F.to_json(F.create_map("feature_set", "models")).alias("value")
-    )
-    documents.write.partitionBy("sampling", "feature_set").text(path)
+    whole = F.map_from_entries(F.collect_list(F.struct("feature_set", "models")))
+    documents = per_set.groupBy("sampling").agg(F.to_json(whole).alias("value"))
+    documents.write.partitionBy("sampling").text(path)
     return path
 
 

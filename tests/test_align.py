@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.operators.align import align, align_by_position, align_outer, pending, with_position
+from rowsmith.operators.align import align, align_by_position, align_outer, pending, with_group_facts, with_position
 from rowsmith.operators.columns import (
     HEALTH_COMPOSITES,
     assemble,
@@ -73,3 +73,29 @@ def test_small_column_operators(spark):
     assert filter_not(df, F.col("label") == 1).count() == 1
     assert rename_all(df, ["a", "b", "c"]).columns == ["a", "b", "c"]
     assert union_classes(df, df).count() == 6
+
+
+def test_positions_follow_file_names_not_sizes(spark, tmp_path):
+    sizes = {"x": [5, 300, 40], "y": [200, 5, 140]}
+    for name, parts in sizes.items():
+        first = 0
+        for i, n in enumerate(parts):
+            rows = spark.range(first, first + n, 1, 1)
+            rows.select(F.col("id").alias(name)).write.parquet(f"{tmp_path}/{name}/piece={i}")
+            first += n
+    x, y = (spark.read.parquet(f"{tmp_path}/{n}").select(n) for n in sizes)
+    found = align_by_position(x, y)
+    assert found.count() == 345 and found.filter("x <> y").count() == 0
+
+
+def test_unequal_lengths_are_refused(spark):
+    with pytest.raises(ValueError, match="10 rows cannot be paired with 7"):
+        align_by_position(spark.range(10).toDF("a"), spark.range(7).toDF("b"))
+
+
+def test_lookup_spreads_hot_rows_without_random_numbers(spark):
+    rows = spark.range(4_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    marked = with_group_facts(rows, ["k"], {"n": F.count(F.lit(1))})
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert "rand(" not in plan
+    assert {(r["k"], r["n"]) for r in marked.collect()} == {(0, 1334), (1, 1333), (2, 1333)}

@@ -102,3 +102,43 @@ def test_unknown_method(data):
         correlation_array(data[1], COLS, "kendall")
     with pytest.raises(ValueError):
         label_correlation(data[1], ["b"], "a", "kendall")
+
+
+def test_buckets_stay_near_the_limit(spark):
+    """90 % equal values, and codes beside a continuous label."""
+    from rowsmith.functions.prefix import bucket_limits, value_counts, with_buckets
+
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id").cast("double")).otherwise(0.0).alias("mostly"), F.col("id").alias("wide")
+    )
+    counts = value_counts(rows, ["mostly", "wide"])
+    limits = bucket_limits(counts, 500)
+    sizes = with_buckets(counts, limits).groupBy("column", "bucket").count().collect()
+    assert max(r["count"] for r in sizes) <= 1_000
+
+
+def test_spearman_with_codes_and_a_continuous_label(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"code": rng.integers(0, 5, 3_000), "label": rng.normal(size=3_000)})
+    data.loc[:1_500, "label"] = 0.0
+    data["near"] = data["label"] + rng.normal(size=3_000) * 0.1
+    got = {r["feature"]: r["corr"] for r in label_correlation(spark.createDataFrame(data), ["code", "near"], "label", rows_per_bucket=100).collect()}
+    ranks = data.rank()
+    for c in ("code", "near"):
+        assert abs(got[c] - ranks[c].corr(ranks["label"])) < 1e-9
+
+
+def test_wide_spearman_goes_through_one_long_table(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from rowsmith.operators import correlate
+
+    monkeypatch.setattr(correlate, "BROADCAST_VALUES", 10)
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame({f"c{i}": rng.normal(size=400).round(2) for i in range(5)} | {"code": rng.integers(0, 3, 400)})
+    found = correlate.correlation_array(spark.createDataFrame(data).repartition(3), list(data.columns))
+    assert np.abs(found - data.rank().corr().to_numpy()).max() < 1e-9

@@ -78,3 +78,19 @@ def test_value_limits(spark):
     }
     low, high = value_limits(df, ["b"], pad_rel=0.05).select("low", "high").head()
     assert (low, high) == (pytest.approx(9.5), pytest.approx(21.0))
+
+
+def test_relative_padding_holds_negative_limits(spark):
+    from rowsmith.operators.describe import value_limits
+
+    row = value_limits(spark.createDataFrame([(-100.0,), (-50.0,)], "v double"), ["v"], pad_rel=0.05).head()
+    assert (row["low"], row["high"]) == (-105.0, -47.5)
+
+
+def test_densities_leave_out_constant_columns(spark):
+    from rowsmith.operators.describe import densities
+
+    rows = spark.range(50).selectExpr("cast(id as double) a", "1 b", "cast(null as double) c")
+    found = densities(rows, ["a", "b", "c"], grid=10)
+    assert {r["column"] for r in found.collect()} == {"a"} and found.count() == 10
+    assert densities(rows, ["b"]).collect() == []

@@ -4,7 +4,10 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from rowsmith.operators.align import align
+from rowsmith.operators.resample import train_test_split
 from rowsmith.plans.registry import all_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -65,6 +68,52 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_split_filter_sinks_below_the_join(spark):
-    text = plan(spark, "j3_paired_split")
-    join, scan = text.index("Join"), text.rindex("md5")
-    assert join < scan
+    x, y = (spark.range(100).toDF("key").withColumn(c, F.lit(1)) for c in "xy")
+    train, _ = train_test_split(align(x, y, "key"), "key")
+    text = train._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Join") < text.rindex("md5")
+
+
+def test_paired_split_reads_each_side_once(spark):
+    assert plan(spark, "j3_paired_split").count("FileScan") == 2 * plan(spark, "p5_split_x").count("FileScan")
+
+
+SCORING = {"t1_fit_score": 1, "t5_naive_bayes": 1}
+
+
+@pytest.mark.parametrize("name", SCORING)
+def test_scoring_does_not_pair_everything(spark, name):
+    text = plan(spark, name)
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "InPandas", "InArrow"):
+        assert forbidden not in text
+
+
+@pytest.mark.parametrize(
+    "name, times",
+    [
+        ("q2_drop_contradictions", 2),
+        ("w3_mark_repeated", 2),
+        ("w2_average_rank_bucketed", 1),
+        ("a14_auc_roc_continuous", 1),
+        ("m1_undersample_exact", 3),
+        ("m2_oversample", 3),
+    ],
+)
+def test_how_often_the_input_is_read(spark, name, times):
+    """Rows that the jobs of a query read from the given table, counted by a filter's accumulator."""
+    table = "lineitem" if name[0] in "qwa" else "orders"
+    before = scans(spark, table)
+    all_queries()[name](spark, SMALL).write.format("noop").mode("overwrite").save()
+    assert scans(spark, table) - before <= times
+
+
+def scans(spark, table):
+    """Scans of a table's file in all finished executions."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    found = 0
+    executions = store.executionsList()
+    for i in range(executions.size()):
+        text = executions.apply(i).physicalPlanDescription()
+        final = text.split("== Initial Plan ==")[0]
+        found += len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*/{table}\.parquet", final.split("+- == Initial")[0]))
+    return found

@@ -101,3 +101,11 @@ def test_split_puts_a_null_key_in_the_test_part(spark):
 def test_folds(data):
     folds = {r["k"]: r["fold"] for r in kfold(data.repartition(4), "k", 3).collect()}
     assert folds == {k: number(k, 1234) % 3 for k in range(2000)}
+
+
+def test_copies_are_spread_over_partitions(spark):
+    rows = spark.range(0, 4_000, 1, 8).select("id", (F.col("id") < 20).cast("int").alias("label"))
+    out = oversample(rows, "label", "id")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.filter("label = 1").count() == 3_980
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)

@@ -156,9 +156,28 @@ def test_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     cluster = fake_session("spark://host:7077", "hdfs://shared/folder/")
     assert shared_dir(cluster) == "hdfs://shared/folder"
-    assert cluster.sparkContext.chosen == "hdfs://shared/folder/"
+    assert cluster.sparkContext.chosen is None  # the caller's own setting stays
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        shared_dir(fake_session("spark://host:7077", "file:/tmp/x"))
 
 
 def test_a_cluster_must_name_its_folder():
     with pytest.raises(RuntimeError):
         shared_dir(fake_session("spark://host:7077"))
+
+
+def test_broken_documents_are_named(spark, tmp_path):
+    from rowsmith.sources.score_store import broken_documents
+
+    (tmp_path / "up.json").write_text('{"all": {"dt": {"accuracy": 0.5}}}')
+    (tmp_path / "down.json").write_text('{"all": {"dt"')
+    path = str(tmp_path)
+    assert [r["file"].rsplit("/", 1)[1] for r in broken_documents(spark, path).collect()] == ["down.json"]
+    with pytest.warns(UserWarning, match="down.json"):
+        assert read_scores(spark, path).count() == 1
+    with pytest.raises(ValueError, match="down.json"):
+        read_scores(spark, path, mode="raise")
+    assert broken_documents(spark, f"{path}/none").collect() == []
