@@ -118,5 +118,35 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+def _sql_words(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+# Windows of both sides as strings; only lengths that an item has are cut out of documents.
+OP4_SQL = f"""
+WITH items AS (SELECT item_id, {_sql_words('text')} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+         array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_sql_words('text')} AS w FROM documents),
+doc_windows AS (
+  SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS win
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size)),
+found AS (SELECT r, i, size, item_id FROM doc_windows JOIN item_windows USING (size, win)),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM found) GROUP BY r),
+which AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN which USING (r)
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {}
+    """SQL can say the benchmark search; the others are held against brute force in tests/llm."""
+    return {"op4_decontaminate": OP4_SQL}
