@@ -13,6 +13,7 @@ from rowsmith.operators.columns import (
     drop_columns,
     filter_class,
     filter_not,
+    rename_all,
     select_columns,
     split_xy,
     union_classes,
@@ -74,6 +75,19 @@ def p3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_SHORT = ["id", "a", "b", "c", "d", "e", "y"]
+
+
+@query(
+    "p8_rename_all",
+    f"WITH {PREP_SQL} SELECT "
+    + ", ".join(f"{old} AS {new}" for old, new in zip(["o_orderkey", *PREP_FEATURES, "label"], _SHORT))
+    + " FROM prep",
+)
+def p8(spark: SparkSession, folder: str) -> DataFrame:
+    return rename_all(prep(spark, folder).select("o_orderkey", *PREP_FEATURES, "label"), _SHORT)
+
+
 @query("p4_filter_class", f"WITH {LABEL_SQL} SELECT * FROM outcome WHERE label = 1")
 def p4(spark: SparkSession, folder: str) -> DataFrame:
     return filter_class(outcome(spark, folder), "label", 1)
