@@ -29,11 +29,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.llm.common import hidden
+from rowsmith.llm.common import hidden, text_batches
 
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 200_000
 TABLE_CHARS = 40
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
 LONG_PIECE = 256
 NONE = np.int64(1) << 40
 
@@ -342,6 +342,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     sent back to the JVM. The digests are of whole texts.
     """
 
+    text_batches(docs.sparkSession)
+
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def of(texts: pa.Array) -> pa.Array:
         cache, made = encoder(path)

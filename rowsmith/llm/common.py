@@ -29,6 +29,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+TEXT_BATCH_ROWS = 1_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of at most ``TEXT_BATCH_ROWS`` rows, for this session.
+
+    Spark's own 10,000 rows are meant for numbers; with texts a batch, which is held several
+    times on its way, would fill up to the byte limit of a batch.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_BATCH_ROWS:
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+
+
 def settled(flag: Column) -> Column:
     """The same flag, worked out in the projection that names it.
 

@@ -22,7 +22,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.llm.common import hidden, sha256_hex
+from rowsmith.llm.common import hidden, sha256_hex, text_batches
 
 WINDOW_WORDS = 10
 BLOCK_CHARS = 16_000_000  # benchmark text that is broadcast at once
@@ -159,6 +159,7 @@ def mark_contaminated(
     window_words: int = WINDOW_WORDS,
 ) -> DataFrame:
     """Add a struct column ``name``: n_words, n_hit, spans of hit words, items, n_items, contaminated."""
+    text_batches(docs.sparkSession)
     tests = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_CHARS))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.llm.common import hidden
+from rowsmith.llm.common import hidden, text_batches
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -202,6 +202,7 @@ def fit(sample: list[tuple[str, str]]) -> ByteNetwork | None:
 
 def with_language(docs: DataFrame, network: ByteNetwork | None, name: str = "language", text_col: str = "text") -> DataFrame:
     """Add a struct column ``name``: lang_pred and score."""
+    text_batches(docs.sparkSession)
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(texts: pa.Array) -> pa.Array:

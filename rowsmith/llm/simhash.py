@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from rowsmith.llm.common import HOT_PARTS, HOT_ROWS, hidden, join_split, materialise, shuffle_width
+from rowsmith.llm.common import HOT_PARTS, HOT_ROWS, hidden, join_split, materialise, shuffle_width, text_batches
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -314,6 +314,7 @@ def near_copies(
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """One row per document: its id, ``fingerprint`` (16 hex digits) and ``component_id``."""
+    text_batches(docs.sparkSession)
     prints = materialise(
         docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle_words).alias("fp")), "prints"
     )
@@ -335,6 +336,7 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component one row with its smallest id."""
     fp, key = hidden("fp"), hidden("key")
+    text_batches(docs.sparkSession)
     print_of = fingerprint(F.col(text_col), shingle_words)
     prints = materialise(docs.select(F.col(id_col).alias("id"), print_of.alias("fp")), "prints")
     classes = _classes(prints, "id", max_bits)

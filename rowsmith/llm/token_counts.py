@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsmith.llm.bpe import encoder
+from rowsmith.llm.common import text_batches
 
 GROUP = ("source", "lang", "tokenizer")
 CHANGE = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -129,6 +130,7 @@ class Rollup:
 
 def count_corpus(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Counts of every document: source, lang, words, marked words, bpe and a hash of the text."""
+    text_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         "doc_id",
