@@ -17,7 +17,7 @@ Documents go to parts by ranges of doc_id, each part is sorted and packed in one
 reader adds the sizes of the parts before (one row per part).
 
 Defined cases. A null text counts as empty: it has the end id alone. Null ids come first,
-repeated ids stay and follow each other in the order of their ids' bytes. Extra columns are ignored.
+repeated ids stay and follow each other in the order of their tokens' bytes. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsmith.llm.bpe import FragmentCache
-from rowsmith.llm.common import shuffle_width
+from rowsmith.llm.common import shuffle_width, text_batches
 
 END_ID = 2
 BLOCK_IDS = 4_096
@@ -165,13 +165,25 @@ def library_cache(path: str) -> FragmentCache:
     return _caches[path]
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """Ids as little-endian numbers behind a byte that says how wide they are: two bytes where all fit."""
+    if len(ids) and int(ids.max()) > 0xFFFF:
+        return b"\x04" + ids.astype("<u4").tobytes()
+    return b"\x02" + ids.astype("<u2").tobytes()
+
+
+def widen(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u4" if data[0] == 4 else "<u2", offset=1).astype(np.uint32)
+
+
 def token_bytes(text: Column, path: str, end_id: int = END_ID) -> Column:
-    """Ids of a text and the end id, as little-endian 32-bit numbers."""
+    """Ids of a text and the end id, in the form of :func:`narrow`."""
     end = struct.pack("<I", end_id)
 
     @F.arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([ids + end for ids in library_cache(path).ids(t.as_py() for t in texts)], pa.binary())
+        found = library_cache(path).ids(t.as_py() for t in texts)
+        return pa.array([narrow(np.frombuffer(ids + end, "<u4")) for ids in found], pa.binary())
 
     return of(text)
 
@@ -209,7 +221,7 @@ def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield close()
                 part, first = number, 0
             doc_ids.append(doc.as_py())
-            arrays.append(np.frombuffer(data.as_py(), "<u4"))
+            arrays.append(widen(data.as_py()))
             held += len(arrays[-1])
             if held >= SEGMENT_IDS:
                 yield close()
@@ -227,6 +239,7 @@ def write_token_files(
     parts: int | None = None,
 ) -> None:
     """Encode all texts and write them to ``path`` in ascending order of their ids."""
+    text_batches(docs.sparkSession)
     parts = parts or shuffle_width(docs.sparkSession)
     shares = [i / parts for i in range(1, parts)]
     bounds = sorted(set(docs.select(id_col).stat.approxQuantile(id_col, shares, 0.2 / parts))) if shares else []
