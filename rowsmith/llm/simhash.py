@@ -290,17 +290,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _classes(prints: DataFrame, id_col: str, max_bits: int) -> DataFrame:
-    """One row per fingerprint: (fp, copies, low, component), the last the smallest id of its component."""
+    """One row per fingerprint: (fp, copies, low, root, component).
+
+    ``root`` names the component; ``component`` is its smallest id, which two components share where ids repeat.
+    """
     classes = materialise(
         prints.groupBy("fp").agg(F.count(F.lit(1)).alias("copies"), F.min(id_col).alias("low")), "classes"
     )
     roots = materialise(components(materialise(links(classes, "fp", max_bits), "found")), "roots")
     member = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "low")
     least = member.groupBy("root").agg(F.min("low").alias("component"))
-    linked = member.join(least, "root").select("fp", F.col("component"), F.lit(True).alias("linked"))
+    linked = member.join(least, "root").select("fp", "root", "component")
     return materialise(
         classes.join(linked, "fp", "left").select(
-            "fp", "copies", "low", F.when(F.col("linked"), F.col("component")).otherwise(F.col("low")).alias("component")
+            "fp",
+            "copies",
+            "low",
+            F.coalesce("root", "fp").alias("root"),
+            F.when(F.col("root").isNotNull(), F.col("component")).otherwise(F.col("low")).alias("component"),
         ),
         "components",
     )
@@ -334,19 +341,15 @@ def keep_one(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component one row with its smallest id."""
+    """The rows of ``docs`` without near copies: of each component one row with its smallest id, if it has any."""
     fp, key = hidden("fp"), hidden("key")
     text_batches(docs.sparkSession)
     print_of = fingerprint(F.col(text_col), shingle_words)
     prints = materialise(docs.select(F.col(id_col).alias("id"), print_of.alias("fp")), "prints")
     classes = _classes(prints, "id", max_bits)
-    # The class that holds a component's smallest id. Without any id, the component is its own class.
-    chosen = (
-        classes.filter(F.col("low").eqNullSafe(F.col("component")))
-        .groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("own"))
-        .agg(F.min("fp").alias(fp))
-        .select(fp, _text_key("component").alias(key))
-    )
+    # Of each component the class with its smallest id, a class without any id last, then the first fingerprint.
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp"))
+    chosen = classes.groupBy("root").agg(first.alias("m")).select(F.col("m.fp").alias(fp), _text_key("m.low").alias(key))
     marked = docs.withColumn(fp, print_of).withColumn(key, _text_key(id_col))
     return marked.join(chosen, [fp, key]).dropDuplicates([fp, key]).select(*docs.columns)
 

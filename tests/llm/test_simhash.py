@@ -100,3 +100,35 @@ def test_keep_one_keeps_the_smallest_id_of_every_group(spark):
     # A group without any id is told apart by its fingerprint.
     want = sorted((comp is None, comp or 0) for comp in groups)
     assert got == want
+
+
+def parts_of(rows):
+    """Component number of every row of [(doc_id, text)]: brute force gives it when each row has an id of its own."""
+    return [comp for _, _, comp in brute.near_copies([(i, text) for i, (_, text) in enumerate(rows)])]
+
+
+def test_keep_one_keeps_a_row_of_every_component(spark):
+    docs = cases.documents(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    groups = {}
+    for (doc, text), part in zip(rows, parts_of(rows)):
+        groups.setdefault(part, set()).add((doc is None, doc or 0))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in simhash.keep_one(docs).collect())
+    assert got == sorted(map(min, groups.values()))
+    assert got.count((False, 6)) == 2  # id 6 stands on two unrelated texts
+
+
+def test_keep_one_of_near_copies_without_ids(spark):
+    rng = random.Random(12)
+    text = cases.prose(rng, 400)
+    near = [text]
+    for word in text.split():
+        other = text.replace(word, "zebra", 1)
+        if 0 < (brute.fingerprint(text) ^ brute.fingerprint(other)).bit_count() <= 4:
+            near.append(other)
+        if len(near) == 4:
+            break
+    rows = [(None, t) for t in near] + [(None, cases.prose(rng, 90))]
+    assert len(near) == 4 and len(set(parts_of(rows))) == 2
+    got = [r["text"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == 2 and rows[-1][1] in got
