@@ -1,10 +1,10 @@
 """Quality rules, line first: judge every line, drop the failures, then judge what is left.
 
 A line with a word fails as navigation (separators between short entries), as
-boilerplate (phrases of banners, menus and legal notes), or for its punctuation
-(symbols or repeated marks on a large share of its words, or the sentence marks of a sentence after
-almost every word). A document goes if the base rules reject it (too few words, or too
-many of them in three-word windows that repeat) or if the failed lines hold more than
+boilerplate (phrases of banners, menus and legal notes make up ``PHRASE_SHARE`` of its words), or for its
+punctuation (symbols or repeated marks on a large share of its words). A line of more than ``LONG_WORDS``
+words is judged for phrases sentence by sentence and loses only the sentences that fail. A document goes if the base rules reject it (too few words, or too
+many of them in three-word windows that repeat) or if the failed lines and sentences hold more than
 ``MAX_LOST`` of its words' characters.
 
 Everything is an expression over one row: no shuffle, no Python. Repeated windows are looked for
@@ -16,6 +16,8 @@ neither judged nor counted and stay. Repeated rows are judged each on its own, e
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.llm.common import hidden, settled
@@ -25,6 +27,8 @@ MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.3
 MARKED_SHARE = 0.3  # of a line's words that carry symbols or doubled marks
 ENTRY_SHARE = 0.25  # of a line's words that are separators of a menu
+PHRASE_SHARE = 0.25  # of a line's or sentence's words that are in boilerplate phrases
+LONG_WORDS = 25  # a longer line is judged for phrases by its sentences
 SYMBOLS = "#*$%&|<>"
 
 # White space of the word rule, and phrases of boilerplate lines in lower case.
@@ -47,6 +51,9 @@ BOILERPLATE = (
     "share this page",
     "click here to",
 )
+PHRASE = "(" + "|".join(BOILERPLATE) + ")"
+WORD = r"[^\x20\x09-\x0D]+"
+SENTENCE_END = r"(?<=[.!?])(?=[\x20\x09-\x0D])"  # the space stays with the sentence that follows
 
 
 def _strip(text: Column, characters: str) -> Column:
@@ -96,14 +103,24 @@ def _repeat_words(words: str, hashes: str) -> Column:
     )
 
 
-def _bad_line(line: Column) -> Column:
-    """True for a line to drop; blank lines are never bad."""
-    lower = F.lower(line)
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase = phrase | F.contains(lower, F.lit(p))
+def _n_words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD))
+
+
+def _boilerplate(text: Column) -> Column:
+    """True when phrases make up enough of the words of a line or sentence."""
+    lower = F.lower(text)
+    inside = F.aggregate(
+        F.regexp_extract_all(lower, F.lit(PHRASE), F.lit(1)), F.lit(0), lambda s, p: s + F.size(F.split(p, " "))
+    )
+    return F.regexp_like(lower, F.lit(PHRASE)) & (inside >= PHRASE_SHARE * _n_words(text))
+
+
+def _bad_line(line: Column, phrases: Column) -> Column:
+    """True for a line to drop; blank lines are never bad. ``phrases``: whether the text has any phrase."""
+    phrase = phrases & (_n_words(line) <= LONG_WORDS) & _boilerplate(line)
     count = lambda pattern: F.regexp_count(line, F.lit(pattern))
-    words = count(r"[^\x20\x09-\x0D]+")
+    words = _n_words(line)
     marked = count(r"[#*$%&<>~^=_]{2,}|[!?]{2,}|[#*$%&<>](?=[\x20\x09-\x0D]|$)")
     entries = count(r"(?<![^\x20\x09-\x0D])[|>»•·/-]+(?![^\x20\x09-\x0D])")
     suspect = F.regexp_like(line, F.lit(r"[#*$%&<>|»•·~^=_/-]|[!?]{2}"))
@@ -111,8 +128,9 @@ def _bad_line(line: Column) -> Column:
 
 
 def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text") -> DataFrame:
-    """Add a struct column ``name``: counts, base_failed, kept, and the text without failed lines."""
-    text, words, lines, bad, hashes, counts = (hidden(x) for x in ("text", "words", "lines", "bad", "hashes", "counts"))
+    """Add a struct column ``name``: counts, base_failed, kept, and the text without failed lines and sentences."""
+    names = ("text", "words", "lines", "bad", "hashes", "counts", "phrases", "cuts")
+    text, words, lines, bad, hashes, counts, phrases, cuts = (hidden(x) for x in names)
     read = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
     read = read.withColumn(words, words_of(F.col(text)))
     solid_lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
@@ -124,7 +142,19 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
             F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
         ).otherwise(F.array().cast("array<bigint>")),
     ).withColumn(lines, solid_lines)
-    read = read.withColumn(bad, F.filter(F.col(lines), _bad_line))
+    lower = F.lower(F.col(text))
+    read = read.withColumn(phrases, reduce(lambda a, b: a | b, [F.contains(lower, F.lit(p)) for p in BOILERPLATE]))
+    read = read.withColumn(bad, F.filter(F.col(lines), lambda x: _bad_line(x, F.col(phrases))))
+    # Sentences to cut out of long lines that stay.
+    long = lambda x: _n_words(x) > LONG_WORDS
+    failing = lambda x: F.filter(F.split(x, SENTENCE_END, -1), _boilerplate)
+    read = read.withColumn(
+        cuts,
+        F.when(
+            F.col(phrases),
+            F.flatten(F.transform(F.filter(F.col(lines), lambda x: long(x) & ~F.array_contains(F.col(bad), x)), failing)),
+        ).otherwise(F.array().cast("array<string>")),
+    )
     h = F.col(hashes)
     repeats = F.when(F.size(F.array_distinct(h)) < F.size(h), _repeat_words(words, hashes)).otherwise(F.lit(0))
     solid = _solid(F.col(text))
@@ -136,15 +166,20 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
             (F.length(F.col(text)) - F.length(_strip(F.col(text), SYMBOLS))).cast("long").alias("n_symbols"),
             (F.size(F.col(lines)) - F.size(F.array_distinct(F.col(lines)))).cast("long").alias("n_dup_lines"),
             repeats.cast("long").alias("n_repeat_words"),
-            F.aggregate(F.col(bad), F.lit(0).cast("long"), lambda s, x: s + _solid(x)).alias("lost_chars"),
+            F.aggregate(F.concat(F.col(bad), F.col(cuts)), F.lit(0).cast("long"), lambda s, x: s + _solid(x)).alias("lost_chars"),
         ),
     )
     c = F.col(counts)
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
-    clean = F.when(
-        F.size(F.col(bad)) > 0,
-        F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.array_contains(F.array_distinct(F.col(bad)), x)), "\n"),
-    ).otherwise(F.col(text_col))
+    left = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.array_contains(F.array_distinct(F.col(bad)), x))
+    # A long line of which no sentence stays goes whole.
+    rest = lambda x: F.array_join(F.filter(F.split(x, SENTENCE_END, -1), lambda p: ~F.array_contains(F.col(cuts), p)), "")
+    shorter = F.filter(F.transform(left, lambda x: F.when(long(x), F.nullif(rest(x), F.lit(""))).otherwise(x)), lambda x: x.isNotNull())
+    clean = (
+        F.when(F.size(F.col(cuts)) > 0, F.array_join(shorter, "\n"))
+        .when(F.size(F.col(bad)) > 0, F.array_join(left, "\n"))
+        .otherwise(F.col(text_col))
+    )
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars")
     return read.withColumn(
         name,
@@ -154,7 +189,7 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
             settled(~failed & (c["lost_chars"] <= MAX_LOST * c["word_chars"])).alias("kept"),
             clean.alias("clean"),
         ),
-    ).drop(text, words, lines, bad, hashes, counts)
+    ).drop(text, words, lines, bad, hashes, counts, phrases, cuts)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,7 +200,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Documents that are kept, without their failed lines."""
+    """Documents that are kept, without their failed lines and sentences."""
     q = hidden("quality")
     marked = with_quality(docs, q, text_col).filter(F.col(q)["kept"])
     return marked.withColumn(text_col, F.col(q)["clean"]).select(*docs.columns)

@@ -143,6 +143,26 @@ def test_failed_lines_go_and_documents_that_lose_too_much(spark):
     assert out == {0: good, 1: good, 2: good}
 
 
+def test_long_lines_lose_only_the_sentences_that_are_boilerplate(spark):
+    rng = random.Random(21)
+    prose = lambda n: cases.prose(rng, n).replace("\n", " ")
+    mention = "The ministry wrote a new privacy policy for all of the schools in the country last year."
+    first, last = prose(600) + " End.", prose(600) + " End."
+    texts = [
+        f"{first} {mention} {last}",  # one line, one mention in passing
+        f"{first} Accept all cookies. {last}",
+        f"{first}\nAll rights reserved.\n{last}",
+        prose(3_000).replace(".", "") + " terms of use",  # no sentence marks at all
+        " ".join(f"Click here to subscribe to our newsletter{i}." for i in range(20)) + f"\n{first}",
+        " ".join(f"Click here to see item{i}." for i in range(400)) + f"\n{prose(60)}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in quality_rules.keep_good(docs).collect()}
+    assert out == {0: texts[0], 1: f"{first} {last}", 2: f"{first}\n{last}", 3: texts[3], 4: first}
+    lost = {r["doc_id"]: r["lost_chars"] for r in quality_rules.judge(docs).collect()}
+    assert lost[0] == lost[3] == 0 and lost[1] == len("Acceptallcookies.") and lost[2] == len("Allrightsreserved.")
+
+
 # Importance resampling
 
 
