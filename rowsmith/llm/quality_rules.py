@@ -1,8 +1,10 @@
 """Quality rules, line first: judge every line, drop the failures, then judge what is left.
 
-A line with a word fails as navigation (separators between short entries), as
+A line with a word fails as navigation (two or more separators between short entries), as
 boilerplate (phrases of banners, menus and legal notes make up ``PHRASE_SHARE`` of its words), or for its
-punctuation (symbols or repeated marks on a large share of its words). A line of more than ``LONG_WORDS``
+punctuation (symbols or repeated marks on a large share of its words and on two at least, sentence marks
+after almost every word of four or more, or no letter or digit at all). The mark of a list, heading or quotation
+at the start of a line does not count. A line of more than ``LONG_WORDS``
 words is judged for phrases sentence by sentence and loses only the sentences that fail. A document goes if the base rules reject it (too few words, or too
 many of them in three-word windows that repeat) or if the failed lines and sentences hold more than
 ``MAX_LOST`` of its words' characters.
@@ -26,6 +28,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.3
 MARKED_SHARE = 0.3  # of a line's words that carry symbols or doubled marks
+MARKED_WORDS = 2  # and at least so many
+TERSE_SHARE = 0.8  # of a line's words that end with a sentence mark
+TERSE_WORDS = 4  # in a line of so many words or more
+ENTRIES = 2  # separators of a menu, at least
 ENTRY_SHARE = 0.25  # of a line's words that are separators of a menu
 PHRASE_SHARE = 0.25  # of a line's or sentence's words that are in boilerplate phrases
 LONG_WORDS = 25  # a longer line is judged for phrases by its sentences
@@ -53,6 +59,14 @@ BOILERPLATE = (
 )
 PHRASE = "(" + "|".join(BOILERPLATE) + ")"
 WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]"
+LEAD = rf"^{GAP}*(?:#{{1,6}}|[*+>»•·-]|[0-9]+[.)])(?={GAP})"  # of a list, heading or quotation
+EMPHASIS = r"(\*{1,3}|_{1,3})([\p{L}\p{N}](?:[^*_]*[^*_\x20])?)\1"
+# The rest of the word is taken too, so a word counts once. A sign after a number is part of it.
+MARKED = rf"(?:[#*$%&<>~^=_]{{2,}}|[!?]{{2,}}|(?:[#*&<>]|(?<![0-9])[$%])(?={GAP}|$))[^\x20\x09-\x0D]*"
+# A dash separates entries only where the next one begins with a capital or a number.
+ENTRY = rf"(?<={GAP})(?:-*[|>»•·/][|>»•·/-]*|-+(?={GAP}+[\p{{Lu}}\p{{N}}]))(?={GAP}+[^\x20\x09-\x0D])"
+TERSE = rf"[.!?][\"')\]]*(?={GAP}|$)"
 SENTENCE_END = r"(?<=[.!?])(?=[\x20\x09-\x0D])"  # the space stays with the sentence that follows
 
 
@@ -119,12 +133,21 @@ def _boilerplate(text: Column) -> Column:
 def _bad_line(line: Column, phrases: Column) -> Column:
     """True for a line to drop; blank lines are never bad. ``phrases``: whether the text has any phrase."""
     phrase = phrases & (_n_words(line) <= LONG_WORDS) & _boilerplate(line)
-    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
     words = _n_words(line)
-    marked = count(r"[#*$%&<>~^=_]{2,}|[!?]{2,}|[#*$%&<>](?=[\x20\x09-\x0D]|$)")
-    entries = count(r"(?<![^\x20\x09-\x0D])[|>»•·/-]+(?![^\x20\x09-\x0D])")
+    body = F.regexp_replace(F.regexp_replace(line, F.lit(LEAD), F.lit("")), F.lit(EMPHASIS), F.lit("$2"))
+    marked = F.regexp_count(body, F.lit(MARKED))
+    entries = F.regexp_count(line, F.lit(ENTRY))
     suspect = F.regexp_like(line, F.lit(r"[#*$%&<>|»•·~^=_/-]|[!?]{2}"))
-    return phrase | (suspect & ((marked > MARKED_SHARE * words) | ((entries > 0) & (entries >= ENTRY_SHARE * words))))
+    empty = ~F.regexp_like(line, F.lit(r"[\p{L}\p{N}]"))
+    symbols = (marked >= MARKED_WORDS) & (marked > MARKED_SHARE * words)
+    menu = (entries >= ENTRIES) & (entries >= ENTRY_SHARE * words)
+    # Two marked words in a row first: hardly any line has them.
+    terse = (
+        F.regexp_like(line, F.lit(rf"[.!?]{GAP}+[^\x20\x09-\x0D]+[.!?][\"')\]]*(?:{GAP}|$)"))
+        & (words >= TERSE_WORDS)
+        & (F.regexp_count(line, F.lit(TERSE)) >= TERSE_SHARE * words)
+    )
+    return phrase | (suspect & (symbols | menu | empty)) | terse
 
 
 def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text") -> DataFrame:

@@ -163,6 +163,24 @@ def test_long_lines_lose_only_the_sentences_that_are_boilerplate(spark):
     assert lost[0] == lost[3] == 0 and lost[1] == len("Acceptallcookies.") and lost[2] == len("Allrightsreserved.")
 
 
+def test_lists_headings_and_dialogue_stay(spark):
+    good = [
+        "# Title", "## Heading here", "## Heading ##", "* item one", "- buy fresh milk", "- milk", "  - two words", "1. first - of all",
+        "> a quotation", "> yes", "Yes - of course", "Yes - of course - why not", "- Yes - of course", "What?!", "Really?! Well...",
+        "**Important notice**", "Up 50% today", "from 5% to 10%", "Q & A", "and / or", "No. Never.", "No.", "J. R. R. Tolkien wrote it.",
+        "- No. Never. Again.", "Buy. Now.", "• a point", "The end. Yes. We went home early that day.", "Home | About",
+    ]
+    bad = [
+        "Home | About | Contact", "Home > News > Sport > Today", "Home - About - Contact", "• Home • About • Contact •", "| a | b | c |",
+        "Buy. Now. Cheap. Pills.", "Buy! Now! Cheap! Pills! Here!", "=====", "-----", "* * *", "$$$ win### big***", "THIS!! IS!! LOUD!!",
+    ]
+    prose = cases.prose(random.Random(31), 300)
+    docs = spark.createDataFrame([(i, f"{prose}\n{x}") for i, x in enumerate(good + bad)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in quality_rules.keep_good(docs).collect()}
+    assert [x for i, x in enumerate(good) if out[i] != f"{prose}\n{x}"] == []
+    assert [x for i, x in enumerate(bad) if out[len(good) + i] != prose] == []
+
+
 # Importance resampling
 
 
