@@ -249,6 +249,29 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licenses.licences(docs.filter("false")).collect() == []
 
 
+def test_whole_licences_speak_for_their_directory(spark):
+    import textwrap
+
+    whole = {k: v[0] for k, v in licenses.whole_texts().items()}
+    mit = "The MIT License\n\nCopyright (c) 2020 Foo Ltd. All rights reserved.\n\n" + whole["MIT"]
+    texts = {"MIT": mit, **{k: whole[k] for k in ("BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0")}}
+    files = []
+    for k, t in texts.items():
+        paragraphs = [" ".join(p.split()) for p in t.split("\n\n")]
+        for i, form in enumerate((t, "\n\n".join(paragraphs), "\n\n".join(textwrap.fill(p, 50) for p in paragraphs))):
+            files += [(f"/{k}/{i}/LICENSE", form), (f"/{k}/{i}/src/x.c", "int x;")]
+    header = licenses._GNU.replace("software;", "software:")
+    for v in "23":
+        block = textwrap.indent(textwrap.fill(header.format(what="", version=v) + ".", 60), " * ")
+        files.append((f"/h/GPL-{v}.0", f"/*\n{block}\n */\n" + "int y;\n" * 90))
+    files.append(("/t/title", "GNU GENERAL PUBLIC LICENSE\n" + "int y;\n" * 90))
+    docs = spark.createDataFrame(files, "path string, text string")
+    got = {r["path"]: (r["licence"], r["origin"]) for r in licenses.licences(docs).collect()}
+    want = {p: (p.split("/")[1], "own" if p.endswith("LICENSE") else "inherited") for p, _ in files if p[1] not in "ht"}
+    want |= {"/h/GPL-2.0": ("GPL-2.0", "own"), "/h/GPL-3.0": ("GPL-3.0", "own"), "/t/title": (None, "none")}
+    assert got == want
+
+
 # Token counts
 
 
