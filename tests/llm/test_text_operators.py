@@ -272,6 +272,26 @@ def test_whole_licences_speak_for_their_directory(spark):
     assert got == want
 
 
+def test_short_notices(spark):
+    forms = [
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("All rights reserved.", "proprietary"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Released under the MIT License.", "MIT"),
+        ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Copyright 2020 Foo. All rights reserved.", "proprietary"),
+        ("Copyright (c) 2020 Foo, all rights reserved", "proprietary"),
+        ("// SPDX-License-Identifier: MIT", "MIT"),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("SPDX-License-Identifier: Unheard-Of-1.0", None),
+        ("You need a licence to drive a car.", None),
+    ]
+    rest = cases.prose(random.Random(41), 80)
+    docs = spark.createDataFrame([(f"/d/{i}", f"{rest}\n{x}\n{rest}") for i, (x, _) in enumerate(forms)], "path string, text string")
+    got = {r["path"]: r["licence"] for r in licenses.licences(docs).collect()}
+    assert got == {f"/d/{i}": k for i, (_, k) in enumerate(forms)}
+
+
 # Token counts
 
 
