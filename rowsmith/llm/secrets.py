@@ -9,11 +9,15 @@ method adds spans of kind ``random``:
    counts, the Wald-Wolfowitz number of runs above and below the alphabet's middle, and the lag-one
    serial correlation of the characters' numbers. A candidate that one of them rejects at
    ``REJECT`` is no secret.
-4. The chi-squared statistic is also held against ordinary text of the same length, in which two
-   characters are equal as often as in prose (``TEXT_SAME``, at least twice as often as in a uniform
-   alphabet). That p-value shrinks with length. A weighted Benjamini-Hochberg step over the candidates of a document,
-   with weights that grow with length up to ``FULL_CHARS``, keeps the share of false finds below
-   ``FALSE_SHARE``.
+4. What is left is held against ordinary text: by the chi-squared statistic, when two characters are equal as often
+   as in prose (``TEXT_SAME``, at least twice as often as in a uniform alphabet), which must be improbable at
+   ``FALSE_SHARE``; and by the cost of its pairs of neighbours (``PAIR_COST``: bits of a letter after a letter in
+   prose, and fixed ones for digits, separators and capitals within words) against the mean cost in
+   ordinary tokens. A weighted Benjamini-Hochberg step on the second p-value, over the candidates of a document that
+   no test of step 3 rejects, with weights that grow with length up to ``FULL_CHARS``, keeps the share of
+   false finds below ``FALSE_SHARE``. That p-value is so small for keys that hundreds of ordinary tokens do not hide them.
+
+A candidate whose characters fit no single encoding is cut at its separators; the pieces are candidates.
 
 All of it is expressions over arrays of one row: no shuffle and no Python. Positions come from
 the lengths of the pieces between matches.
@@ -46,6 +50,20 @@ FULL_CHARS = 40
 REJECT = 0.001
 FALSE_SHARE = 0.05
 TEXT_SAME = 0.065
+# Cost of the pairs of the costliest usual tokens (short words joined by capitals, with numbers), spread widened.
+PAIR_MEAN = 4.3
+PAIR_SPREAD = 2.1
+DIGITS_COST, MIXED_COST, SEPARATOR_COST, CAPITAL_COST = 3, 7, 4, 6
+# Minus log2 of the share of a letter after a letter, rounded, a row of 26 for each first letter.
+PAIR_COST = (
+    "66555977498562679442488979699929995791994995894999495979399129959939989469999945971995399695399654696999"
+    "37645986499572688235688897488935863997982993735999573689297349969457935478699726891985499695499654896999"
+    "65473668799662389643969999099939999999996999995999998999099949979599994999999939971999399399699978699929"
+    "35991999299969449949599999466339355986854886427769787876737959975186925637799929994398599499449395499949"
+    "99999999999999999999099999366819754966554794547869685747398248977747865259799957994991299797499566997976"
+    "55562786598563578443978399599919992999994999999999993999699139999739979999999939392997499669445493969979"
+    "4699399449959428944499699956564957677669887655179996"
+)
 
 HEX_ALPHABET = "0123456789abcdef"
 BASE32_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -182,20 +200,63 @@ def _p_values(m: Column) -> Column:
     return F.struct(F.least(uniform, runs, serial).alias("fit"), (1 - _upper(text_z)).alias("text"))
 
 
+def _pair_p(value: Column) -> Column:
+    """p-value of the mean cost of neighbours against ordinary tokens."""
+    between = lambda x, a, b: (x >= a) & (x <= b)
+    digit = lambda x: between(x, "0", "9")
+    letter = lambda x: between(F.lower(x), "a", "z")
+    at = lambda x: F.ascii(F.lower(x)) - ord("a")
+
+    def cost(x: Column, y: Column) -> Column:
+        return (
+            F.when(digit(x) & digit(y), DIGITS_COST)
+            .when((digit(x) & letter(y)) | (letter(x) & digit(y)), MIXED_COST)
+            .when(digit(x) | digit(y), DIGITS_COST)
+            .when(~letter(x) | ~letter(y), SEPARATOR_COST)
+            .when(between(x, "a", "z") & between(y, "A", "Z"), CAPITAL_COST)
+            .otherwise(F.substring(F.lit(PAIR_COST), 26 * at(x) + at(y) + 1, F.lit(1)).cast("int"))
+        )
+
+    total = F.aggregate(
+        F.split(value, ""),
+        F.struct(F.lit(0).alias("n"), F.lit(None).cast("string").alias("last")),
+        lambda s, c: F.struct((s["n"] + F.when(s["last"].isNull(), 0).otherwise(cost(s["last"], c))).alias("n"), c.alias("last")),
+        lambda s: s["n"],
+    )
+    pairs = (F.length(value) - 1).cast("double")
+    return _upper((total - pairs * PAIR_MEAN) / (F.sqrt(pairs) * PAIR_SPREAD))
+
+
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}+" % MIN_CHARS
+PIECE = r"[A-Za-z0-9]{%d,}+" % MIN_CHARS
 
 
 def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add the spans of random tokens, step by step so that no step is worked out twice."""
     steps = [hidden(f"step{i}") for i in range(5)]
+    whole, pieces = hidden("whole"), hidden("pieces")
     cand, measured, tested, ordered, limit = (F.col(x) for x in steps)
-    mixed = F.filter(
-        _spans(F.col(text), CANDIDATE, KINDS.index("random"), MIN_CHARS),
-        lambda m: F.regexp_like(m["value"], F.lit("[0-9]")) & F.regexp_like(m["value"], F.lit("[A-Za-z]")),
+
+    def mixed(pattern: str) -> Column:
+        return F.filter(
+            _spans(F.col(text), pattern, KINDS.index("random"), MIN_CHARS),
+            lambda m: F.regexp_like(m["value"], F.lit("[0-9]")) & F.regexp_like(m["value"], F.lit("[A-Za-z]")),
+        )
+
+    spelled = lambda x: F.transform(x, lambda m: F.struct(m.alias("m"), _alphabet(m["value"]).alias("a")))
+    inside = lambda p: F.exists(
+        F.col(whole), lambda c: c["a"].isNull() & (c["m"]["start"] <= p["m"]["start"]) & (p["m"]["stop"] <= c["m"]["stop"])
+    )
+    df = df.withColumn(whole, spelled(mixed(CANDIDATE)))
+    df = df.withColumn(
+        pieces,
+        F.when(F.exists(F.col(whole), lambda c: c["a"].isNull()), F.filter(spelled(mixed(PIECE)), inside)).otherwise(
+            F.filter(F.col(whole), lambda c: F.lit(False))
+        ),
     )
     weight = lambda m: F.least(F.lit(1.0), F.length(m["value"]) / F.lit(float(FULL_CHARS)))
     out = (
-        df.withColumn(steps[0], F.transform(mixed, lambda m: F.struct(m.alias("m"), _alphabet(m["value"]).alias("a"))))
+        df.withColumn(steps[0], F.concat(whole, pieces))
         .withColumn(
             steps[1],
             F.transform(
@@ -208,8 +269,12 @@ def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
             steps[3],
             F.array_sort(
                 F.transform(
-                    tested,
-                    lambda t: F.struct((t["p"]["text"] / weight(t["m"])).alias("q"), t["p"]["fit"].alias("fit"), t["m"].alias("m")),
+                    F.filter(tested, lambda t: t["p"]["fit"] >= REJECT),
+                    lambda t: F.struct(
+                        (_pair_p(t["m"]["value"]) / weight(t["m"])).alias("q"),
+                        (t["p"]["text"] / weight(t["m"])).alias("text"),
+                        t["m"].alias("m"),
+                    ),
                 )
             ),
         )
@@ -222,8 +287,8 @@ def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
             ),
         )
     )
-    passed = F.filter(ordered, lambda t: (t["q"] <= limit) & (t["fit"] >= REJECT))
-    return out.withColumn(name, F.transform(passed, lambda t: t["m"])).drop(*steps)
+    passed = F.filter(ordered, lambda t: (t["q"] <= limit) & (t["text"] <= FALSE_SHARE))
+    return out.withColumn(name, F.transform(passed, lambda t: t["m"])).drop(*steps, whole, pieces)
 
 
 def with_secrets(docs: DataFrame, name: str = "secrets", text_col: str = "text") -> DataFrame:

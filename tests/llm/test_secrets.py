@@ -59,3 +59,41 @@ def test_redact(spark):
         assert not brute.base_spans(r["text"])
     assert secrets.redact(cases.nothing(spark)).collect() == []
     assert secrets.secret_spans(cases.nothing(spark)).collect() == []
+
+
+def ordinary(rng):
+    """A token of 20 characters or more: words with a number, joined in one of the usual ways."""
+    words = [rng.choice("market server version customer garden winter report holiday station morning letter system".split()) for _ in range(4)]
+    words[rng.randrange(1, 4)] = str(rng.randrange(10, 3_000))
+    kind = rng.randrange(3)
+    return ("-".join(words), "_".join(words), "".join(w.title() for w in words))[kind] + "index"
+
+
+def test_keys_are_found_beside_hundreds_of_ordinary_tokens(spark):
+    rng = random.Random(17)
+    kinds = [
+        (string.ascii_uppercase + "234567", 40),
+        (string.ascii_lowercase + string.digits, 36),
+        (string.ascii_letters + string.digits, 24),
+    ]
+    texts, want = [], []
+    for alphabet, n in kinds:
+        for _ in range(20):
+            tokens = [ordinary(rng) for _ in range(300)]
+            key = "".join(rng.choice(alphabet) for _ in range(n))
+            tokens.insert(150, key)
+            texts.append(" ".join(tokens))
+            at = texts[-1].index(key)
+            want.append(f"random:{at}:{at + n}")
+    got = spans(spark, texts)
+    for k in range(len(kinds)):
+        found = sum(want[i] in got[i].split(",") for i in range(20 * k, 20 * k + 20))
+        assert found >= 18, (kinds[k], found)
+    false = sum(len([x for x in got[i].split(",") if x and x != want[i]]) for i in range(len(texts)))
+    assert false <= 0.05 * len(texts) * 2
+
+
+def test_key_in_a_path_of_mixed_separators(spark):
+    rng = random.Random(23)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    assert spans(spark, [f"see com/some-path/{key} ok"]) == {0: f"random:18:{18 + len(key)}"}
