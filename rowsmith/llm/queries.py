@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowsmith.llm import (
     bpe,
     decontaminate,
+    fill_in_middle,
     language_id,
     licenses,
+    packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secrets,
@@ -94,6 +97,21 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, a tenth of which have runs planted by their id."""
+    return periodic_runs.run_report(periodic_runs.plant_runs(table(spark, folder, "documents")))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cuts and digests of every document, its middle moved to the end."""
+    return fill_in_middle.transform_report(table(spark, folder, "documents"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    return packing.pack_report(table(spark, folder, "documents"), VOCABULARY)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -113,6 +131,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_importance_resampling,
         op9_licences,
         op10_language,
+        op11_periodic_runs,
+        op12_fill_in_middle,
+        op13_packing,
         pipeline,
     )
     return {f.__name__: f for f in found}

@@ -17,7 +17,9 @@ def test_query_answers_for_every_document(spark, name):
     found = llm_queries()[name](spark, FOLDER)
     if name != "op3_token_counts":
         docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-        assert sorted(r["doc_id"] for r in found.select("doc_id").collect()) == sorted(r["doc_id"] for r in docs.collect())
+        ids = [r["doc_id"] for r in found.select("doc_id").collect()]
+        # Packing gives a row per piece.
+        assert sorted(set(ids) if name == "op13_packing" else ids) == sorted(r["doc_id"] for r in docs.collect())
 
 
 def test_token_counts_are_those_of_distinct_texts(spark):
