@@ -6,12 +6,12 @@ cut into windows of fixed length, all of it, and its prediction is the mean of i
 log-probabilities. The network is trained on the driver on a bounded sample of labelled rows;
 tasks apply it to batches of windows.
 
-Bounds. Training takes at most ``SAMPLE_TEXTS`` texts of a language, chosen by a hash of their text, and
+Bounds. Training takes at most ``SAMPLE_TEXTS`` distinct texts of a language, those of the lowest hashes, and
 ``SAMPLE_WINDOWS`` windows of each, spread over it. At most ``BATCH_WINDOWS`` windows are worked on at once.
 
 Defined cases. A null text or one without a letter is ``und`` with score 0; so is every text when there are no
 labelled rows to learn from. A null id counts as the empty text for the held-out rule. Labels
-that are null teach nothing. Repeated rows are predicted each on its own.
+that are null teach nothing. Repeated rows teach once and are predicted each on its own.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ FILTERS = 16
 EMBEDDING = 4
 SAMPLE_TEXTS = 400
 SAMPLE_WINDOWS = 6
+HASHES = float(1 << 53)
 STEPS = 900
 BATCH = 64
 BATCH_WINDOWS = 512
@@ -167,25 +168,36 @@ def held_out(id_col: str = "doc_id") -> Column:
 def training_sample(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS
 ) -> list[tuple[str, str]]:
-    """(language, text) of at most ``texts`` rows of each language, the same on every run."""
+    """(language, text) of at most ``texts`` distinct texts of each language: those with the lowest hashes.
+
+    Copies count once, so a language of many rows and few texts gives all its texts. The number of distinct
+    texts is only estimated; the share of hashes looked at grows until every language has enough or all.
+    """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.shiftrightunsigned(F.xxhash64(F.lit(SEED), text_col), 11).alias("h")
     )
-    counts = labelled.groupBy("lang").count().collect()  # a row per language
-    if not counts:
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()  # a row per language
+    limits = {r["lang"]: HASHES * min(1.0, 4.0 * texts / max(1, r["n"])) for r in counts}
+    cuts: dict[str, int] = {}
+    while limits.keys() - cuts.keys():
+        waiting = {k: v for k, v in limits.items() if k not in cuts}
+        low = labelled.filter(F.col("h") < _by_language(waiting)).groupBy("lang", "h").agg(F.lit(1))
+        for r in low.groupBy("lang").agg(F.sort_array(F.collect_list("h")).alias("h")).collect():
+            if len(r["h"]) >= texts or limits[r["lang"]] >= HASHES:
+                cuts[r["lang"]] = r["h"][: texts][-1]
+        limits = {k: v if k in cuts else min(HASHES, 8 * v) for k, v in limits.items()}
+    if not cuts:
         return []
-    # Twice the wanted share by hash first, so that only few texts are ordered and sent.
-    rate = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * texts / r["count"]))) for r in counts])
-    order = F.xxhash64(F.lit(SEED), "text")
-    few = labelled.withColumn("h", order).filter((F.shiftrightunsigned("h", 11) / float(1 << 53)) < rate)
-    cuts = {}
-    for r in few.groupBy("lang", "h").count().groupBy("lang").agg(F.sort_array(F.collect_list("h")).alias("h")).collect():
-        cuts[r["lang"]] = r["h"][min(texts, len(r["h"])) - 1]
-    limit = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in cuts.items()])
-    chosen = few.filter(F.col("h") <= limit).dropDuplicates(["lang", "h"]).select("lang", "text", "h").collect()
+    few = labelled.filter(F.col("h") <= _by_language(cuts))
+    chosen = few.groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
     return [(r["lang"], r["text"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["h"]))]
 
 
+def _by_language(values: dict) -> Column:
+    """The value of a row's language; null for others."""
+    return F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in values.items()])
+
+
 def fit(sample: list[tuple[str, str]]) -> ByteNetwork | None:
     languages = sorted({lang for lang, _ in sample})
     rows, labels = [], []

@@ -87,8 +87,8 @@ def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
-    """Licence of every document; a document is the file <source>/<lang>/<doc_id>."""
-    path = F.concat_ws("/", F.lit(""), F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.col("doc_id").cast("string"))
+    """Licence of every document. A document is the only file of its directory <source>/<doc_id>, so it speaks for no other one."""
+    path = F.concat_ws("/", F.lit(""), F.coalesce("source", F.lit("_")), F.col("doc_id").cast("string"), F.lit("text"))
     return licenses.licences(table(spark, folder, "documents").withColumn("path", path), keep=("doc_id",))
 
 

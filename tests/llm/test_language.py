@@ -27,6 +27,28 @@ def test_held_out_rows_are_recognised(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_repeated_rows_lose_no_language(spark):
+    many = spark.range(20_000).selectExpr("id + 1000 doc_id", "concat('the house and the garden ', cast(id % 3 as string)) text", "'en' lang")
+    alone = language_id.predict_languages(many).groupBy("lang_pred").count().collect()
+    assert [tuple(r) for r in alone] == [("en", 20_000)]
+    few = [(i, text, lang) for i, text, lang in made(60) if lang == "zz"]
+    both = many.unionByName(spark.createDataFrame(few, "doc_id long, text string, lang string"))
+    got = language_id.predict_languages(both).filter("doc_id >= 1000").groupBy("lang_pred").count().collect()
+    assert [tuple(r) for r in got] == [("en", 20_000)]
+
+
+def test_sample_is_the_lowest_hashes_of_each_language(spark):
+    rows = [(f"text {i % 700}", "a") for i in range(3_000)] + [("same", "b")] * 900 + [(f"t{i}", "c") for i in range(5)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    h = language_id.F.shiftrightunsigned(language_id.F.xxhash64(language_id.F.lit(language_id.SEED), "text"), 11)
+    hashes = {r["text"]: r["h"] for r in docs.select("text", h.alias("h")).distinct().collect()}
+    want = []
+    for lang in "abc":
+        texts = sorted({t for t, x in rows if x == lang}, key=hashes.get)
+        want += [(lang, t) for t in texts[:50]]
+    assert language_id.training_sample(docs, texts=50) == want
+
+
 def test_labels_of_held_out_rows_are_never_read(spark):
     docs = spark.createDataFrame(made(90), "doc_id long, text string, lang string")
     spoiled = docs.withColumn("lang", language_id.F.when(~language_id.held_out(), language_id.F.col("lang")).otherwise("??"))

@@ -1,7 +1,12 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from rowsmith.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, token_counts, token_files
 from rowsmith.llm.queries import VOCABULARY
@@ -205,6 +210,63 @@ def test_top_limit_is_exact_with_ties(spark):
     assert quality_classifier.top_limit(rows, "v", 10) is None
 
 
+def plain_log_weights(rows, good, buckets):
+    """Log weights of [(id, text)] by counting in dictionaries; buckets of words and pairs come from ``bucket_of``."""
+    raw, target = Counter(), Counter()
+    grams = [grams_of(t) for _, t in rows]
+    for (doc, _), g in zip(rows, grams):
+        raw.update(g)
+        if doc in good:
+            target.update(g)
+    r, t = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    return [sum(math.log((target[b] + 1) / t) - math.log((raw[b] + 1) / r) for b in g) for g in grams]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def grams_of(text, buckets=quality_classifier.BUCKETS):
+    words = brute.WORD.findall((text or "").translate(brute.LOWER))
+    single = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) % buckets for w in words]
+    # Spark hashes several columns by taking each hash as the seed of the next.
+    pair = [
+        signed(xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42))) % buckets for a, b in zip(words, words[1:])
+    ]
+    return single + pair
+
+
+def test_resampling_matches_brute_force(spark):
+    docs = cases.documents(spark)
+    labels = spark.createDataFrame([(i, 1) for i in (6, 7, 12, 21)] + [(None, 1), (8, 0)], "doc_id long, quality int")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = plain_log_weights(rows, {6, 7, 12, 21}, quality_classifier.BUCKETS)
+    got = quality_classifier.resample(docs, labels, share=0.3).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    a = sorted(((r["doc_id"], r["log_weight"]) for r in got), key=key)
+    b = sorted(((doc, w) for (doc, _), w in zip(rows, want)), key=key)
+    assert [x for x, _ in a] == [x for x, _ in b] and np.allclose([x for _, x in a], [x for _, x in b])
+    # The k largest sums of weight and noise, and no others.
+    k = math.ceil(0.3 * len(rows))
+    sums = sorted((r["log_weight"] + r["noise"] for r in got), reverse=True)
+    assert sorted((r["log_weight"] + r["noise"] for r in got if r["selected"]), reverse=True) == sums[:k]
+
+
+def test_copies_are_drawn_one_by_one(spark):
+    same = [(1, "the same words again")] * 3_000 + [(None, "the same words again")] * 500
+    rows = same + [(i, f"other words {i}") for i in range(2, 502)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (5, 1)], "doc_id long, quality int")
+    got = quality_classifier.resample(docs, labels, share=0.5).collect()
+    assert len(got) == 4_000 and sum(r["selected"] for r in got) == 2_000
+    assert len({r["noise"] for r in got}) == 4_000
+    again = quality_classifier.resample(docs.repartition(2), labels, share=0.5).collect()
+    same_rows = lambda found: sorted(map(repr, map(tuple, found)))
+    assert same_rows(got) == same_rows(again)
+    noise = np.array([r["noise"] for r in got])
+    assert abs(noise.mean() - 0.5772) < 0.1 and abs(noise.std() - math.pi / math.sqrt(6)) < 0.1
+
+
 def test_resample_awkward_rows(spark):
     docs = cases.documents(spark)
     labels = spark.createDataFrame([(6, 1), (None, 1), (7, None)], "doc_id long, quality int")
@@ -249,6 +311,75 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licenses.licences(docs.filter("false")).collect() == []
 
 
+def plain_score(text, templates):
+    """Best cosine of a text and its licence, from the formulas."""
+    texts = [(k, Counter(re.findall(licenses.TERM, t.lower()))) for k, parts in sorted(templates.items()) for t in parts]
+    seen = Counter(w for _, c in texts for w in c)
+    idf = lambda w: math.log((1 + len(texts)) / (1 + seen[w])) + 1
+    vector = lambda c: {w: (1 + math.log(n)) * idf(w) for w, n in c.items()}
+    mine = vector(Counter(re.findall(licenses.TERM, text.lower())))
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    return max(
+        (sum(x * mine.get(w, 0) for w, x in v.items()) / size(v) / size(mine), k) for k, v in ((k, vector(c)) for k, c in texts)
+    )
+
+
+def test_scores_and_inheritance_match_brute_force(spark):
+    rng = random.Random(31)
+    notices = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under the Apache License, Version 2.0."]
+    files = []
+    for i in range(150):
+        depth = rng.randrange(4)
+        name = rng.choice(["LICENSE", "COPYING.txt", "a.py", "b.md", "license_check.py"])
+        path = "/" + "/".join(rng.choice("ab") for _ in range(depth)) + ("/" if depth else "") + name
+        files.append((i, path, rng.choice([*notices, "no words about it", None, "x y\n" + rng.choice(notices) + "\n" + "z " * 40])))
+    docs = spark.createDataFrame(files, "doc_id long, path string, text string").repartition(4)
+    own, speaks = {}, {}
+    for i, path, text in files:
+        parts = [p for p in re.split(licenses.SENTENCE, text or "") if re.search(licenses.NOTICE, p)]
+        scored = [(-s, k) for s, k in (plain_score(p, licenses.TEMPLATES) for p in parts) if s >= licenses.MIN_COSINE]
+        own[i] = min(scored, default=None)
+        folder, name = path.rsplit("/", 1)
+        if own[i] and re.match(licenses.FILE_NAME, name):
+            speaks.setdefault(folder, []).append(own[i])
+    want = {}
+    for i, path, _ in files:
+        if own[i]:
+            want[i] = (own[i][1], "own", path, -own[i][0])
+            continue
+        folder = path.rsplit("/", 1)[0]
+        while folder and folder not in speaks:
+            folder = folder.rsplit("/", 1)[0]
+        found = speaks.get(folder, [])
+        if not found:
+            want[i] = (None, "none", None, None)
+        elif len({k for _, k in found}) > 1:
+            want[i] = (None, "disputed", folder, None)
+        else:
+            want[i] = (min(found)[1], "inherited", folder, -min(found)[0])
+    assert {w[1] for w in want.values()} == {"own", "inherited", "disputed", "none"}
+    got = {r["doc_id"]: r for r in licenses.licences(docs, keep=("doc_id", "path")).collect()}
+    assert len(got) == len(files)
+    for i, (licence, origin, place, score) in want.items():
+        assert (got[i]["licence"], got[i]["origin"], got[i]["from_path"]) == (licence, origin, place)
+        assert got[i]["score"] == (pytest.approx(score) if score else None)
+
+
+def test_licences_of_awkward_tables(spark):
+    docs = cases.documents(spark).withColumn("path", F.concat(F.lit("/"), F.col("source"), F.lit("/LICENSE")))
+    named = docs.withColumn("licence", F.lit("mine")).withColumn("origin", F.lit(1)).withColumn("above", F.lit(2)).withColumn("dir", F.lit(3))
+    got = licenses.licences(named, keep=("doc_id", "licence", "path", "origin", "above", "dir"))
+    assert got.columns == ["doc_id", "kept_licence", "kept_path", "kept_origin", "above", "dir", *licenses.RESULTS]
+    assert got.count() == docs.count() and got.filter("licence is not null").count() == 0
+    assert licenses.licences(named.filter("false"), keep=("licence",)).collect() == []
+    long = "\n".join(f"Released under the MIT License {i}." for i in range(3_000))
+    big = spark.createDataFrame([("/a/LICENSE", long), ("/a/x", "")], "path string, text string")
+    assert sorted((r["path"], r["licence"], r["origin"]) for r in licenses.licences(big).collect()) == [
+        ("/a/LICENSE", "MIT", "own"),
+        ("/a/x", "MIT", "inherited"),
+    ]
+
+
 def test_whole_licences_speak_for_their_directory(spark):
     import textwrap
 
