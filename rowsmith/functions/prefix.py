@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowsmith.session import written
@@ -55,35 +54,47 @@ def bucket_limits(counts: DataFrame, rows_per_bucket: int = BUCKET_ROWS) -> Limi
     """Inner limits of the value buckets per column; empty for columns that fit in one.
 
     ``counts`` has one row per distinct (column, value), so the quantiles are those of distinct
-    values and no value's frequency can fill a bucket.
+    values and no value's frequency can fill a bucket. However many columns there are, one job counts
+    their values and one merges a quantile sketch for each column that is cut.
     """
     sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+    pieces = {c: min(MAX_BUCKETS, -(-size // rows_per_bucket)) for c, size in sizes.items() if size > rows_per_bucket}
     limits: Limits = {c: [] for c in sizes}
-    for c, size in sizes.items():
-        if size > rows_per_bucket:
-            pieces = min(MAX_BUCKETS, max(2, -(-size // rows_per_bucket)))
-            probs = [i / pieces for i in range(1, pieces)]
-            of_column = counts.filter(F.col("column") == c)
-            limits[c] = sorted(set(of_column.approxQuantile("value", probs, 1.0 / (4 * pieces))))
+    if not pieces:
+        return limits
+    most = max(pieces.values())
+    shares = [i / most for i in range(1, most)]
+    large = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", shares, 4 * most).alias("at")
+    )
+    for row in large.filter(F.col("n") > rows_per_bucket).collect():
+        wanted = pieces[row["column"]]
+        limits[row["column"]] = sorted({row["at"][round(i * most / wanted) - 1] for i in range(1, wanted)})
     return limits
 
 
 def with_buckets(counts: DataFrame, limits: Limits) -> DataFrame:
-    """Add the bucket of every (column, value)."""
-    split = [c for c in limits if limits[c]]
+    """Add the bucket of every (column, value): the number of the column's limits that are not above the value.
+
+    The limits are one array per column, at most ``MAX_BUCKETS`` long, and each row bisects its column's array.
+    """
+    split = {c: at for c, at in limits.items() if at}
     if not split:
         return counts.withColumn("bucket", F.lit(0))
-    infinity = float("inf")
-    parts = [counts.filter(~F.col("column").isin(split)).withColumn("bucket", F.lit(0))]
-    for c in split:
-        placed = Bucketizer(
-            inputCol="value", outputCol="__bucket", splits=[-infinity, *limits[c], infinity], handleInvalid="keep"
-        ).transform(counts.filter(F.col("column") == c))
-        parts.append(placed.withColumn("bucket", F.col("__bucket").cast("int")).drop("__bucket"))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+    depth = max(len(at) for at in split.values()).bit_length()
+    filled = [(c, [*at, *[float("inf")] * ((1 << depth) - 1 - len(at))]) for c, at in split.items()]
+    known = counts.sparkSession.createDataFrame(filled, "column string, __limits array<double>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(depth))])
+    place = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda low, step: low + F.when(F.get("__limits", low + step - 1) <= F.col("value"), step).otherwise(0),
+    )
+    return (
+        counts.join(F.broadcast(known), "column", "left")  # one row per column
+        .withColumn("bucket", F.when(F.col("__limits").isNull(), 0).otherwise(place))
+        .drop("__limits")
+    )
 
 
 def running_totals(counts: DataFrame, amounts: Sequence[str], limits: Limits) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, running_totals, value_counts, with_buckets
+from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, running_totals, with_buckets
+from rowsmith.session import written
 
 
 def confusion(pred: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
@@ -112,28 +113,36 @@ def binary_metrics(
 
 
 def auc_roc(
-    scored: DataFrame, label: str, score: str, positive: float = 1, rows_per_bucket: int = BUCKET_ROWS
+    scored: DataFrame,
+    label: str,
+    score: str,
+    positive: float = 1,
+    rows_per_bucket: int = BUCKET_ROWS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row (auc, positives, negatives): the exact area under the ROC curve, where a tie
-    between a positive and a negative counts half. Null unless both classes occur.
+    """One row per group (*by, auc, positives, negatives): the exact area under the ROC curve, where a
+    tie between a positive and a negative counts half. Null unless both classes occur.
 
-    One pass counts the rows of every score; all else reads those counts.
+    One pass counts the rows of every score of every group; all else reads those counts. Null
+    scores and labels are left out, a null in ``by`` is a group of its own.
     """
-    rows = scored.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).dropna()
-    is_positive = F.col("label") == positive
-    rows = rows.select("score", is_positive.cast("int").alias("hit"))
-    per_score = value_counts(
-        rows,
-        ["score"],
-        carry=["hit"],
-        amounts={"pos": F.sum("hit"), "neg": F.sum(1 - F.col("hit"))},
-    )
+    groups = {f"__by{i}": F.col(c) for i, c in enumerate(by)}
+    rows = scored.select(
+        *[c.alias(name) for name, c in groups.items()],
+        F.to_json(F.struct(*[F.col(c) for c in by]), {"ignoreNullFields": "false"}).alias("column") if by else F.lit("").alias("column"),
+        F.col(score).cast("double").alias("value"),
+        (F.col(label) == positive).cast("int").alias("hit"),
+    ).dropna(subset=["value", "hit"])
+    counts = rows.groupBy("column", *groups, "value").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg"))
+    per_score = written(counts, "score-counts")
     limits = bucket_limits(per_score, rows_per_bucket)
     ranked = running_totals(with_buckets(per_score, limits), ["neg"], limits)
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
-    return ranked.agg(
+    totals = ranked.groupBy(*groups).agg(
         F.sum(won).alias("won"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
-    ).select(
+    )
+    return totals.select(
+        *[F.col(name).alias(c) for name, c in zip(groups, by)],
         F.when(
             (F.col("positives") > 0) & (F.col("negatives") > 0),
             F.col("won") / F.col("positives") / F.col("negatives"),

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import groupby
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.operators.align import pending
@@ -11,18 +16,41 @@ from rowsmith.sources.score_store import MEASURES, SCORE_KEYS, append_scores, re
 
 
 def run_pending(
-    plan: DataFrame, path: str, run: Callable[[str, str, str], DataFrame]
+    plan: DataFrame,
+    path: str,
+    run: Callable[[str, str, str], DataFrame],
+    per_append: int = 16,
+    hold_seconds: float = 30.0,
+    side_by_side: int = 1,
 ) -> DataFrame:
-    """Run every planned experiment that the table at ``path`` lacks and store each result as
-    soon as it is there, so an interrupted series goes on where it stopped.
+    """Run every planned experiment that the table at ``path`` lacks, so an interrupted series goes on
+    where it stopped.
 
-    ``run`` gets (sampling, feature set, model) and returns one score row. The plan is a list
-    of experiments, each of which is a series of Spark jobs; only its names reach the driver.
+    ``run`` gets (sampling, feature set, model) and returns one score row. Up to ``per_append`` results that
+    came within ``hold_seconds`` are stored by one append; when an experiment fails, those before it are stored first.
+    Up to ``side_by_side`` experiments of one sampling and feature set run at the same time. The plan is a list of experiments, each of which is a series of Spark jobs; only its names reach the driver.
     """
     spark = plan.sparkSession
     todo = pending(plan, read_score_table(spark, path), SCORE_KEYS).orderBy(*SCORE_KEYS).collect()
-    for item in todo:
-        append_scores(run(*[item[k] for k in SCORE_KEYS]), path)
+    held: list[DataFrame] = []
+    since = time.monotonic()
+
+    def flush() -> None:
+        if held:
+            append_scores(reduce(DataFrame.unionByName, held), path)
+            held.clear()
+
+    try:
+        with ThreadPool(side_by_side) as pool:
+            start = inheritable_thread_target(spark)(lambda item: run(*[item[k] for k in SCORE_KEYS]))
+            for _, group in groupby(todo, key=lambda item: tuple(item[k] for k in SCORE_KEYS[:2])):
+                for done in pool.imap(start, group) if side_by_side > 1 else map(start, group):
+                    held.append(done)
+                    if len(held) >= per_append or time.monotonic() - since >= hold_seconds:
+                        flush()
+                        since = time.monotonic()
+    finally:
+        flush()
     return read_score_table(spark, path)
 
 

@@ -6,11 +6,18 @@ only model-sized sums to the driver.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import math
+import threading
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -20,17 +27,20 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from rowsmith.functions.expressions import HASH_RANGE, hash32
 from rowsmith.operators.columns import assemble
-from rowsmith.operators.metrics import all_metrics
+from rowsmith.operators.metrics import all_metrics, auc_roc
 from rowsmith.operators.resample import kfold, no_sampling, oversample, train_test_split, undersample
 from rowsmith.operators.scores import run_pending
-from rowsmith.sources.score_store import SCORE_SCHEMA
+from rowsmith.sources.score_store import SCORE_KEYS, SCORE_SCHEMA, TRIAL_SCHEMA, append_trials, read_trials
 
+TASK_ROWS = 50_000  # rows of a training task
 MODEL_KEYS = ("lr", "dt", "rf", "gbt", "nb", "svm", "mlp")
 
 
@@ -93,14 +103,99 @@ def fit_score(model: Estimator, train: DataFrame, test: DataFrame, label: str) -
     return all_metrics(model.fit(train).transform(test), label)
 
 
+class ExactAuc(Evaluator):
+    """The exact area under the ROC curve as an evaluator for the tuning tools of ``pyspark.ml``, whose own one
+    puts the scores into 1,000 bins."""
+
+    def __init__(self, label: str):
+        super().__init__()
+        self.label = label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        found = auc_roc(with_score(dataset), self.label, SCORE).head()["auc"]
+        return float("nan") if found is None else found
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
+SCORE = "__score"
+
+
+def with_score(scored: DataFrame, name: str = SCORE, vector: str | None = None) -> DataFrame:
+    """Add the score of class 1: its probability, or the raw margin where a model has none."""
+    vector = vector or ("probability" if "probability" in scored.columns else "rawPrediction")
+    return scored.withColumn(name, F.element_at(vector_to_array(vector), 2))
+
+
+def _threads(df: DataFrame, parallelism: int | None) -> int:
+    return parallelism or min(8, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _all_scores(models: Sequence[Model], rows: DataFrame, label: str, keep: Sequence[str]) -> DataFrame:
+    """Rows (*keep, label, point, score) of every row under every model, in one pass over the rows."""
+    entries, wide = [], rows
+    for i, model in enumerate(models):
+        names = {p: f"__{p}{i}" for p in ("predictionCol", "rawPredictionCol", "probabilityCol") if model.hasParam(p)}
+        named = model.copy({model.getParam(p): name for p, name in names.items()})
+        wide = named.transform(wide)
+        vector = names.get("probabilityCol", names["rawPredictionCol"])
+        entries.append(F.struct(F.lit(i).alias("point"), F.element_at(vector_to_array(vector), 2).alias("score")))
+    return wide.select(*keep, label, F.inline(F.array(*entries)))
+
+
+def cross_validate(
+    model: Estimator, grid: Sequence[dict], rows: DataFrame, label: str, folds: int, parallelism: int | None = None
+) -> DataFrame:
+    """Rows (fold, point, auc, positives, negatives): the exact AUC of every grid point on every fold.
+
+    ``rows`` has a column ``fold``. The fits run side by side; the scores of all folds and points then go through one
+    grouped aggregate. A fold of one class gives null.
+    """
+    jobs = [(f, p) for f in range(folds) for p in range(len(grid))]
+    parts = [rows.filter(F.col("fold") != f) for f in range(folds)]
+
+    def fit(job: tuple[int, int]) -> Model:
+        return model.fit(parts[job[0]], grid[job[1]])
+
+    with ThreadPool(min(_threads(rows, parallelism), len(jobs))) as pool:
+        fitted = dict(zip(jobs, pool.map(inheritable_thread_target(rows.sparkSession)(fit), jobs)))
+    held = [
+        _all_scores([fitted[f, p] for p in range(len(grid))], rows.filter(F.col("fold") == f), label, ["fold"])
+        for f in range(folds)
+    ]
+    return auc_roc(reduce(DataFrame.unionByName, held), label, "score", by=["fold", "point"])
+
+
+def _averages(found: DataFrame, points: int) -> list[float]:
+    """Mean AUC of each grid point over the folds that have one; NaN if none has. Folds x points rows are collected."""
+    values: dict[int, list[float]] = {p: [] for p in range(points)}
+    for row in found.filter(F.col("auc").isNotNull()).orderBy("point", "fold").collect():
+        values[row["point"]].append(row["auc"])
+    return [sum(v) / len(v) if v else float("nan") for v in values.values()]
+
+
+def _best_first(averages: Mapping[int, float]) -> list[int]:
+    """Points by falling average, the earlier in the grid first; those without an average last."""
+    return sorted(averages, key=lambda p: (math.isnan(averages[p]), -averages[p] if averages[p] == averages[p] else 0.0, p))
+
+
 @dataclass(frozen=True)
 class GridResult:
-    """A cross-validated model, the mean metric of each grid point, and the best settings."""
+    """A cross-validated model, the mean metric of each grid point, and the best settings.
+
+    ``shares`` has the share of the rows on which each point's mean was last taken.
+    """
 
     model: CrossValidatorModel
     points: list[dict[str, object]]
     averages: list[float]
     best_params: dict[str, object]
+    shares: list[float] = field(default_factory=list)
+
+
+def _named(grid: Sequence[dict]) -> list[dict[str, object]]:
+    return [{p.name: v for p, v in point.items()} for point in grid]
 
 
 def grid_search(
@@ -116,39 +211,95 @@ def grid_search(
 ) -> GridResult:
     """Try every grid point by cross-validation and refit the best on all training rows.
 
-    With ``key`` the folds come from its hash, so they do not depend on the partitioning.
+    With ``key`` the folds come from its hash, so they do not depend on the partitioning. The area under the ROC curve is
+    exact; other metrics are those of Spark's evaluator.
     The rows are kept for the many fits and given free afterwards, unless the caller keeps them.
     """
-    context = train.sparkSession.sparkContext
-    threads = parallelism or min(4, context.defaultParallelism)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
-    validator = CrossValidator(
-        estimator=model,
-        estimatorParamMaps=list(grid),
-        evaluator=evaluator,
-        numFolds=folds,
-        parallelism=threads,
-        seed=seed,
-    )
-    columns = ["features", label]
-    kept = train.is_cached
-    if key is not None:
-        train = kfold(train, key, folds, seed, "fold")
-        validator.setFoldCol("fold")
-        columns.append("fold")
-    rows = train.select(*columns)
-    if not kept:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = kfold(train, key, folds, seed, "fold") if key is not None else train.withColumn("fold", (F.rand(seed) * folds).cast("int"))
+    rows = rows.select("features", label, "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = validator.fit(rows)
+        if metric == "areaUnderROC":
+            averages = _averages(cross_validate(model, grid, rows, label, folds, parallelism), len(grid))
+            best = _best_first(dict(enumerate(averages)))[0]
+            found = CrossValidatorModel(model.fit(rows, grid[best]), averages, [], [])
+        else:
+            evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+            validator = CrossValidator(
+                estimator=model, estimatorParamMaps=list(grid), evaluator=evaluator, numFolds=folds,
+                parallelism=_threads(train, parallelism), seed=seed, foldCol="fold",
+            )
+            found = validator.fit(rows)
+            averages = [float(v) for v in found.avgMetrics]
+            better = max if evaluator.isLargerBetter() else min
+            best = averages.index(better(averages))
     finally:
-        if not kept:
-            rows.unpersist()
-    points = [{p.name: v for p, v in point.items()} for point in grid]
-    averages = [float(v) for v in found.avgMetrics]
-    better = max if evaluator.isLargerBetter() else min
-    best = points[averages.index(better(averages))]
-    return GridResult(found, points, averages, best)
+        rows.unpersist()
+    points = _named(grid)
+    return GridResult(found, points, averages, points[best], [1.0] * len(points))
+
+
+MIN_CLASS_ROWS = 10  # of each class in each fold, before a share of the rows may decide
+SHARE_SEED = 77
+
+
+def _enough(rows: DataFrame, label: str, folds: int, shares: Sequence[float]) -> float:
+    """The first share in which every fold has ``MIN_CLASS_ROWS`` rows of both classes, else 1. One pass for all shares."""
+    counts = rows.groupBy("fold", label).agg(*[F.count_if(F.col("at") < s).alias(f"n{i}") for i, s in enumerate(shares)])
+    found = counts.collect()  # a row per fold and class
+    for i, share in enumerate(shares):
+        if len(found) >= 2 * folds and all(r[f"n{i}"] >= MIN_CLASS_ROWS for r in found):
+            return share
+    return 1.0
+
+
+def halving_search(
+    model: Estimator,
+    grid: Sequence[dict],
+    train: DataFrame,
+    label: str,
+    key: str,
+    folds: int = 3,
+    factor: int = 2,
+    parallelism: int | None = None,
+    seed: int = 1234,
+    known: Mapping[tuple[int, int], tuple[float, float]] | None = None,
+    store: Callable[[list[tuple[int, int, float, float]]], None] | None = None,
+) -> GridResult:
+    """Grid search by successive halving: each round cross-validates the points that are left on one share of the
+    rows, keeps the better 1 / ``factor`` of them, and gives these a larger share, until one is left.
+
+    With n points left a round reads 1/n of the rows, so all rounds cost the same: a grid of n points takes about
+    log(n) fits of all rows in place of n. Shares are taken by the key's hash, so each holds the one before, copies of a row stay
+    together, and nothing is shuffled. A share grows until every fold has ``MIN_CLASS_ROWS`` rows of both classes.
+
+    ``store`` is given the rows (round, point, share, average) of each round that is over; what it stored comes back as ``known``,
+    (round, point) -> (share, average), and these rounds are not run again.
+    """
+    known = known or {}
+    rows = kfold(train, key, folds, seed, "fold").withColumn("at", hash32(key, SHARE_SEED) / float(HASH_RANGE))
+    rows = rows.select("features", label, "fold", "at").persist(StorageLevel.MEMORY_AND_DISK)
+    alive = list(range(len(grid)))
+    averages, shares = [float("nan")] * len(grid), [0.0] * len(grid)
+    try:
+        turn = 0
+        while len(alive) > 1:
+            if not all((turn, p) in known for p in alive):
+                first = max(1.0 / len(alive), *[shares[p] for p in alive])
+                share = _enough(rows, label, folds, [min(1.0, first * factor**i) for i in range(1 + math.ceil(math.log(len(alive), factor)))])
+                part = rows if share >= 1 else rows.filter(F.col("at") < share)
+                found = _averages(cross_validate(model, [grid[p] for p in alive], part, label, folds, parallelism), len(alive))
+                known = {**known, **{(turn, p): (share, a) for p, a in zip(alive, found)}}
+                if store is not None:
+                    store([(turn, p, share, a) for p, a in zip(alive, found)])
+            for p in alive:
+                shares[p], averages[p] = known[turn, p]
+            alive = _best_first({p: averages[p] for p in alive})[: -(-len(alive) // factor)]
+            turn += 1
+        found = CrossValidatorModel(model.fit(rows, grid[alive[0]]), averages, [], [])
+    finally:
+        rows.unpersist()
+    points = _named(grid)
+    return GridResult(found, points, averages, points[alive[0]], shares)
 
 
 def experiment_plan(
@@ -196,16 +347,19 @@ def experiment(
     path: str = "",
     values: Mapping[str, Mapping[str, Sequence]] | None = None,
     resample_first: bool = False,
-    search: bool = True,
+    search: bool | str = True,
     folds: int = 3,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Score every sampling x feature set x model and keep the results in the table at
     ``path``, from which experiments that are already there are not run again.
 
-    ``search=False`` fits each model once with its own settings instead of a grid.
+    ``search`` is ``"halving"`` (:func:`halving_search`, whose rounds are stored beside the scores and are not
+    run again either), ``True`` or ``"grid"`` (:func:`grid_search`), or ``False``: each model is fitted once with its own settings.
     """
     spark = df.sparkSession
     tuned = values or TUNED_VALUES
+    size = df.count()
 
     # The rows of one sampling and feature set are prepared once for all its models.
     ready: dict[str, object] = {}
@@ -215,18 +369,40 @@ def experiment(
             frame.unpersist()
         ready.clear()
 
+    turn = threading.Lock()
+
     def prepare(sampling: str, feature_set: str) -> tuple[DataFrame, DataFrame]:
+        with turn:
+            return prepared(sampling, feature_set)
+
+    def prepared(sampling: str, feature_set: str) -> tuple[DataFrame, DataFrame]:
         if ready.get("name") != (sampling, feature_set):
             release()
+            # Fits are long series of short jobs: no more tasks than the rows are worth.
             frames = [
                 assemble(part, feature_sets[feature_set])
                 .select(key, "features", label)
+                .coalesce(1 + size * (2 if sampling == "up" else 1) // TASK_ROWS)
                 .persist(StorageLevel.MEMORY_AND_DISK)
                 for part in split_and_resample(df, key, label, sampling, resample_first)
             ]
             ready.update(name=(sampling, feature_set), frames=frames)
         return tuple(ready["frames"])
 
+    def rounds_of(experiment_key: tuple[str, str, str], grid: Sequence[dict], features: Sequence[str]) -> dict:
+        """What :func:`halving_search` needs to go on after a break and to be gone on with."""
+        told = json.dumps([_named(grid), list(features), folds, key, label, resample_first], sort_keys=True, default=str)
+        plan = hashlib.md5(told.encode()).hexdigest()
+        mine = read_trials(spark, path).filter(F.col("plan") == plan)
+        for name, value in zip(SCORE_KEYS, experiment_key):
+            mine = mine.filter(F.col(name) == value)
+        known = {(r["turn"], r["point"]): (r["share"], r["average"]) for r in mine.collect()}
+
+        def store(rows: list[tuple[int, int, float, float]]) -> None:
+            append_trials(spark.createDataFrame([(*experiment_key, plan, *r) for r in rows], TRIAL_SCHEMA), path)
+
+        return {"known": known, "store": store}
+
     def run(sampling: str, feature_set: str, model_key: str) -> DataFrame:
         features = list(feature_sets[feature_set])
         train, test = prepare(sampling, feature_set)
@@ -235,7 +411,11 @@ def experiment(
         best: dict[str, object] = {}
         if search:
             grid = param_grid(model, tuned.get(model_key, {}), len(features))
-            found = grid_search(model, grid, train, label, folds, key)
+            if search == "halving":
+                state = rounds_of((sampling, feature_set, model_key), grid, features)
+                found = halving_search(model, grid, train, label, key, folds, parallelism=parallelism, **state)
+            else:
+                found = grid_search(model, grid, train, label, folds, key, parallelism=parallelism)
             scored, best = found.model.transform(test), found.best_params
         else:
             scored = model.fit(train).transform(test)
@@ -249,6 +429,7 @@ def experiment(
         return spark.createDataFrame([values_row], SCORE_SCHEMA)
 
     try:
-        return run_pending(experiment_plan(spark, samplings, list(feature_sets), models), path, run)
+        plan = experiment_plan(spark, samplings, list(feature_sets), models)
+        return run_pending(plan, path, run, side_by_side=min(len(models), _threads(df, parallelism)))
     finally:
         release()

@@ -13,10 +13,11 @@ from pyspark.storagelevel import StorageLevel
 from rowsmith.functions.expressions import tidy
 from rowsmith.operators.columns import assemble
 from rowsmith.operators.metrics import all_metrics, audit_scores, auc_roc
-from rowsmith.operators.resample import oversample, train_test_split
+from rowsmith.operators.resample import kfold, oversample, train_test_split
 from rowsmith.operators.train import (
     MODEL_KEYS,
     TUNED_VALUES,
+    cross_validate,
     experiment,
     fit_score,
     grid_search,
@@ -27,6 +28,7 @@ from rowsmith.plans.catalog_resample import hash_sql
 from rowsmith.plans.inputs import PREP_SQL, doc, prep
 from rowsmith.plans.registry import query
 from rowsmith.session import scratch_path
+from rowsmith.sources.score_store import SCORE_KEYS, read_trials
 
 _CODES = ["month", "priority", "region5"]
 # Text statistics in comparable, non-negative units.
@@ -129,6 +131,51 @@ def t2(spark: SparkSession, folder: str) -> DataFrame:
     return gate.withColumn("held_out_well", auc > 0.8)
 
 
+_FOLD = f"{hash_sql('o_orderkey', 1234)} % 3"
+_SMOOTHINGS = TUNED_VALUES["nb"]["smoothing"]
+
+
+def _fold_auc_sql(smoothing: float) -> str:
+    """AUC of Naive Bayes on every fold, fitted on the others, by its closed form and by ranks."""
+    terms = [f"ln(s_{c} + {smoothing}) - ln({' + '.join('s_' + x for x in _CODES)} + {len(_CODES) * smoothing}) AS t_{c}" for c in _CODES]
+    weight = " + ".join(f"{c} * (b.t_{c} - a.t_{c})" for c in _CODES)
+    return f"""
+    SELECT fold, CAST({smoothing} AS DOUBLE) AS smoothing,
+           round((sum(r) FILTER (WHERE label = 1) - any_value(p) * (any_value(p) + 1) / 2) / any_value(p) / any_value(n), 6) + 0.0 AS auc,
+           any_value(p) AS positives, any_value(n) AS negatives
+    FROM (
+      SELECT fold, label, count(*) FILTER (WHERE label = 1) OVER (PARTITION BY fold) AS p,
+             count(*) FILTER (WHERE label = 0) OVER (PARTITION BY fold) AS n,
+             rank() OVER (PARTITION BY fold ORDER BY score) + (count(*) OVER (PARTITION BY fold, score) - 1) / 2 AS r
+      FROM (
+        SELECT f.fold, f.label, {weight} AS score
+        FROM folds f
+        JOIN (SELECT fold, {', '.join(terms)} FROM others WHERE label = 0) a ON a.fold = f.fold
+        JOIN (SELECT fold, {', '.join(terms)} FROM others WHERE label = 1) b ON b.fold = f.fold))
+    GROUP BY fold"""
+
+
+@query(
+    "t2_exact_auc",
+    f"""WITH {PREP_SQL}, folds AS (SELECT *, CAST({_FOLD} AS INTEGER) AS fold FROM prep WHERE {_IN_TRAIN}),
+    others AS (SELECT g.fold, label, {_sums(*_CODES)}
+               FROM (SELECT DISTINCT fold FROM folds) g JOIN folds f ON f.fold <> g.fold GROUP BY g.fold, label)
+    {' UNION ALL '.join(map(_fold_auc_sql, _SMOOTHINGS))}""",
+)
+def t2_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact AUC of every grid point of Naive Bayes on every fold."""
+    train, _ = _codes(spark, folder)
+    model = make_model("nb", "label", len(_CODES))
+    grid = param_grid(model, TUNED_VALUES["nb"])
+    rows = kfold(train, "o_orderkey").select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = cross_validate(model, grid, rows, "label", 3)
+    finally:
+        rows.unpersist()
+    smoothing = F.element_at(F.array(*[F.lit(v) for v in _SMOOTHINGS]), F.col("point") + 1)
+    return found.select("fold", smoothing.alias("smoothing"), tidy("auc").alias("auc"), "positives", "negatives")
+
+
 _TUNED = {key: TUNED_VALUES[key] for key in ("dt", "nb")}
 
 
@@ -254,20 +301,35 @@ def _runs_sql(models: tuple[str, ...]) -> str:
     return _expected(runs, "col0 AS sampling, col1 AS feature_set, col2 AS model, true AS timed, true AS consistent")
 
 
-def _experiments(spark: SparkSession, folder: str, models: tuple[str, ...], search: bool) -> DataFrame:
+def _experiments(
+    spark: SparkSession, folder: str, models: tuple[str, ...], search: bool | str, sets: dict | None = None
+) -> DataFrame:
     rows = _texts(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _, test = train_test_split(rows, "doc_id")
         size = test.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("p")).head()
-        found = experiment(
-            rows, "doc_id", "label", _SETS, models=models, path=scratch_path(spark, "score-table"), search=search
-        )
+        path = scratch_path(spark, "score-table")
+        found = experiment(rows, "doc_id", "label", sets or _SETS, models=models, path=path, search=search)
     finally:
         rows.unpersist()
     audited = audit_scores(found, F.lit(size["p"]), F.lit(size["n"]))
-    return audited.select(
-        "sampling", "feature_set", "model", (F.col("seconds") > 0).alias("timed"), "consistent"
+    shown = audited.select("sampling", "feature_set", "model", (F.col("seconds") > 0).alias("timed"), "consistent")
+    if search != "halving":
+        return shown
+    # Rounds, points tried in all rounds, and whether each round kept the better points for the next.
+    trials = read_trials(spark, path)
+    later = trials.select(*SCORE_KEYS, (F.col("turn") - 1).alias("turn"), "point", F.lit(True).alias("kept"))
+    judged = trials.join(later, [*SCORE_KEYS, "turn", "point"], "left").groupBy(*SCORE_KEYS, "turn").agg(
+        F.count(F.lit(1)).alias("points"),
+        F.min(F.when(F.col("kept"), F.col("average"))).alias("worst_kept"),
+        F.max(F.when(F.col("kept").isNull(), F.col("average"))).alias("best_dropped"),
+    )
+    rounds = judged.groupBy(*SCORE_KEYS).agg(
+        F.count(F.lit(1)).alias("rounds"),
+        F.sum("points").alias("trials"),
+        F.min(F.coalesce(F.col("worst_kept") >= F.col("best_dropped"), F.lit(True))).alias("better_kept"),
     )
+    return shown.join(rounds, list(SCORE_KEYS))
 
 
 @query("t6_experiment", _runs_sql(tuple(MODEL_KEYS)))
@@ -277,6 +339,26 @@ def t6(spark: SparkSession, folder: str) -> DataFrame:
     return _experiments(spark, folder, tuple(MODEL_KEYS), search=False)
 
 
+# Points of each model's grid, and what halving makes of them: (rounds, trials).
+_HALVING = {2: (1, 2), 3: (2, 5), 4: (2, 6)}
+_GRID_POINTS = {"lr": 2, "dt": 4, "rf": 4, "gbt": 2, "nb": 2, "svm": 2, "mlp": 3}
+_HALVING_RUNS = [(s, m, *_HALVING[_GRID_POINTS[m]]) for s in _STRATEGIES for m in MODEL_KEYS]
+
+
+@query(
+    "t6_experiment_halving",
+    _expected(
+        [f"'{s}', '{m}', {r}, {t}" for s, m, r, t in _HALVING_RUNS],
+        "col0 AS sampling, 'text' AS feature_set, col1 AS model, true AS timed, true AS consistent, "
+        "CAST(col2 AS BIGINT) AS rounds, CAST(col3 AS BIGINT) AS trials, true AS better_kept",
+    ),
+)
+def t6_halving(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate: all seven models tuned over their full grids by successive halving, for three samplings. Each run is stored,
+    timed and consistent, its rounds are stored too, and every round kept the better points."""
+    return _experiments(spark, folder, tuple(MODEL_KEYS), "halving", {"text": _TEXT})
+
+
 @query("t6_experiment_tuned", _runs_sql(_QUICK))
 def t6_tuned(spark: SparkSession, folder: str) -> DataFrame:
     """The same with every model tuned by three-fold cross-validation, for the two that fit fast."""

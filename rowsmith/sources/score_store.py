@@ -1,4 +1,4 @@
-"""Experiment scores: nested JSON documents in, a partitioned Parquet table to work on.
+"""Experiment scores: nested JSON documents in, a table of committed batches to work on.
 
 A JSON document maps feature set -> model -> measures. Documents are read whole, one per
 file, and spread over the cluster by file; each holds one sampling strategy's experiments.
@@ -6,6 +6,8 @@ file, and spread over the cluster by file; each holds one sampling strategy's ex
 
 from __future__ import annotations
 
+import time
+import uuid
 import warnings
 from collections.abc import Sequence
 
@@ -116,22 +118,55 @@ def write_scores_json(scores: DataFrame, path: str) -> str:
     return path
 
 
-def read_score_table(spark: SparkSession, path: str) -> DataFrame:
-    """The Parquet score table, or an empty one where nothing has been stored yet."""
+MANIFEST = "batch string, at long"
+
+
+def committed(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Rows of all committed batches below ``path`` with ``batch`` and ``at``, None without any.
+
+    A batch is a folder of rows. It counts only when its manifest, a file of its own written afterwards, is there, so rows of
+    a writer that broke off are never read, whatever they hold. One name per append is collected.
+    """
     try:
-        found = spark.read.schema(SCORE_SCHEMA).parquet(path)
+        found = spark.read.schema(MANIFEST).parquet(f"{path}/manifests/*").collect()
     except AnalysisException as error:
         if _path_missing(error):
-            return empty_scores(spark)
+            return None
         raise
-    return found.select(*SCORE_COLUMNS)
+    if not found:
+        return None
+    folders = [f"{path}/rows/{name}" for name in sorted({r["batch"] for r in found})]
+    return spark.read.schema(f"{schema}, {MANIFEST}").parquet(*folders)
+
+
+def commit(rows: DataFrame, path: str) -> None:
+    """Write rows as one batch. It becomes visible as a whole with its manifest; writers need no lock."""
+    spark = rows.sparkSession
+    batch, at = uuid.uuid4().hex, time.time_ns()
+    rows.withColumns({"batch": F.lit(batch), "at": F.lit(at)}).write.parquet(f"{path}/rows/{batch}")
+    spark.createDataFrame([(batch, at)], MANIFEST).coalesce(1).write.parquet(f"{path}/manifests/{batch}")
+
+
+def read_score_table(spark: SparkSession, path: str) -> DataFrame:
+    """The score table, or an empty one where nothing has been stored yet.
+
+    Each experiment is there once: where several writers stored it, the earliest batch counts, then
+    the first by name. So all readers see the same rows, in whatever order the writers came.
+    """
+    rows = committed(spark, path, SCORE_SCHEMA)
+    if rows is None:
+        return empty_scores(spark)
+    rest = [c for c in SCORE_COLUMNS if c not in SCORE_KEYS]
+    first = rows.groupBy(*SCORE_KEYS).agg(F.min_by(F.struct(*rest), F.struct("at", "batch")).alias("first"))
+    return first.select(*SCORE_KEYS, *[F.col("first")[c].alias(c) for c in rest])
 
 
 def append_scores(scores: DataFrame, path: str) -> DataFrame:
-    """Add the experiments that are not stored yet and give back the whole table.
+    """Add the experiments that are not stored yet, as one batch, and give back the whole table.
 
     The first result of an experiment wins: stored keys are left out by an anti join, and a
-    key that the new rows repeat keeps the row that is smallest by its measures.
+    key that the new rows repeat keeps the row that is smallest by its measures. A writer that stores the
+    same experiment at the same time does no harm: see :func:`read_score_table`.
     """
     spark = scores.sparkSession
     stored = read_score_table(spark, path).select(*SCORE_KEYS)
@@ -143,5 +178,24 @@ def append_scores(scores: DataFrame, path: str) -> DataFrame:
         .filter("__turn = 1")
         .drop("__turn")
     )
-    fresh.write.mode("append").partitionBy("sampling", "feature_set").parquet(path)
+    commit(fresh, path)
     return read_score_table(spark, path)
+
+
+TRIAL_SCHEMA = (
+    "sampling string, feature_set string, model string, plan string, turn int, point int, share double, average double"
+)
+TRIAL_KEYS = (*SCORE_KEYS, "plan", "turn", "point")
+
+
+def read_trials(spark: SparkSession, path: str) -> DataFrame:
+    """Rounds of searches that are stored beside the scores, each point of a round once."""
+    rows = committed(spark, f"{path}/trials", TRIAL_SCHEMA)
+    if rows is None:
+        return spark.createDataFrame([], TRIAL_SCHEMA)
+    first = rows.groupBy(*TRIAL_KEYS).agg(F.min_by(F.struct("share", "average"), F.struct("at", "batch")).alias("first"))
+    return first.select(*TRIAL_KEYS, "first.share", "first.average")
+
+
+def append_trials(trials: DataFrame, path: str) -> None:
+    commit(trials.select(*TRIAL_KEYS, "share", "average").coalesce(1), f"{path}/trials")

@@ -142,3 +142,35 @@ def test_wide_spearman_goes_through_one_long_table(spark, monkeypatch):
     data = pd.DataFrame({f"c{i}": rng.normal(size=400).round(2) for i in range(5)} | {"code": rng.integers(0, 3, 400)})
     found = correlate.correlation_array(spark.createDataFrame(data).repartition(3), list(data.columns))
     assert np.abs(found - data.rank().corr().to_numpy()).max() < 1e-9
+
+
+def test_limits_of_many_columns_take_a_constant_number_of_scans(spark):
+    """64 continuous columns: one job counts them, one sketches them, and placing is one lookup, no union."""
+    from rowsmith.functions.prefix import bucket_limits, running_totals, value_counts, with_buckets
+
+    cols = [f"c{i}" for i in range(64)]
+    rows = spark.range(400).select(*[F.rand(i).alias(c) if i else (F.col("id") % 3).cast("double").alias(c) for i, c in enumerate(cols)])
+    counts = value_counts(rows, cols)
+    limits = bucket_limits(counts, rows_per_bucket=50)
+    assert limits["c0"] == [] and all(5 <= len(limits[c]) <= 8 for c in cols[1:])
+    placed = with_buckets(counts, limits)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation") == 1
+    ranked = running_totals(placed, ["n"], limits)
+    for c in ("c0", "c1", "c63"):
+        got = [(r["value"], r["before_n"]) for r in ranked.filter(F.col("column") == c).orderBy("value").collect()]
+        total, want = 0, []
+        for r in counts.filter(F.col("column") == c).orderBy("value").collect():
+            want.append((r["value"], total))
+            total += r["n"]
+        assert got == want
+
+
+def test_infinite_values_keep_their_order(spark):
+    from rowsmith.functions.prefix import bucket_limits, running_totals, value_counts, with_buckets
+
+    values = [float("-inf"), *map(float, range(100)), float("inf"), float("nan")]
+    counts = value_counts(spark.createDataFrame([(v,) for v in values], "v double"), ["v"])
+    limits = bucket_limits(counts, rows_per_bucket=7)
+    ranked = running_totals(with_buckets(counts, limits), ["n"], limits).orderBy("value").collect()
+    assert [r["before_n"] for r in ranked] == list(range(103))

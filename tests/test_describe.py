@@ -4,6 +4,9 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
+from rowsmith.operators import describe
 from rowsmith.operators.describe import class_ratio, density, histogram, value_limits
 
 
@@ -94,3 +97,30 @@ def test_densities_leave_out_constant_columns(spark):
     found = densities(rows, ["a", "b", "c"], grid=10)
     assert {r["column"] for r in found.collect()} == {"a"} and found.count() == 10
     assert densities(rows, ["b"]).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["plain", "tail", "codes", "two"])
+def test_density_is_within_its_bound(spark, kind):
+    rng = np.random.default_rng(3)
+    values = {
+        "plain": rng.normal(1e6, 3, 4_000),
+        "tail": np.append(rng.exponential(1, 4_000), [1e4, -2e4]),
+        "codes": rng.integers(0, 5, 3_000).astype(float),
+        "two": np.array([0.0] * 5 + [1e-9]),
+    }[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double").repartition(5)
+    found = {r["point"]: r for r in describe.density(df, "v", grid=97).collect()}
+    width = values.std(ddof=1) * len(values) ** -0.2
+    assert sorted(found) == list(range(97)) and describe.transform_error() < 1e-13
+    for r in found.values():
+        exact = np.exp(-0.5 * ((r["x"] - values) / width) ** 2).sum()
+        scale = 1 / (len(values) * width * math.sqrt(2 * math.pi))
+        # The bound, and what doubles lose in x - value at this size.
+        assert abs(r["density"] / scale - exact) <= len(values) * (describe.transform_error() + 1e-15 * abs(values).max() / width)
+
+
+def test_density_keeps_a_row_per_cell(spark):
+    df = spark.range(100_000).select((F.randn(1)).alias("v"))
+    plan = describe.density(df, "v", grid=500)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan or "Generate" in plan
+    assert plan.count("sum(") < 60  # no aggregate of one sum per grid point

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rowsmith.operators.metrics import audit_scores
 from rowsmith.operators.scores import best_model, compare_models, compare_samplings, run_pending
 from rowsmith.session import scratch_path, shared_dir
+from rowsmith.sources import score_store
 from rowsmith.sources.score_store import (
     SCORE_KEYS,
     SCORE_SCHEMA,
@@ -120,6 +121,48 @@ def test_an_interrupted_series_goes_on(spark):
     assert ran == ["a", "b", "b", "c"]
 
 
+def test_two_writers_store_each_experiment_once(spark, monkeypatch):
+    path = scratch_path(spark, "table")
+    plan = [("s", "f", m) for m in "abcd"]
+    mine = spark.createDataFrame([row(*k, 0.9) for k in plan], SCORE_SCHEMA)
+    other = spark.createDataFrame([row(*k, 0.1) for k in plan[1:]], SCORE_SCHEMA)
+
+    # Both look at the empty table before either has written.
+    class Late:
+        @staticmethod
+        def read(session, folder):
+            return score_store.empty_scores(session)
+
+    real = score_store.read_score_table
+    monkeypatch.setattr(score_store, "read_score_table", Late.read)
+    append_scores(mine.filter("model <> 'd'"), path)
+    append_scores(other, path)
+    monkeypatch.setattr(score_store, "read_score_table", real)
+    found = {r["model"]: r["accuracy"] for r in read_score_table(spark, path).collect()}
+    assert found == {"a": 0.9, "b": 0.9, "c": 0.9, "d": 0.1}
+    assert append_scores(mine, path).count() == 4
+
+
+def test_a_broken_writer_leaves_no_rows(spark):
+    path = scratch_path(spark, "table")
+    append_scores(spark.createDataFrame([row("s", "f", "a", 0.9)], SCORE_SCHEMA), path)
+    # One writer broke off before its manifest, one left a file that is no Parquet.
+    lost = spark.createDataFrame([row("s", "f", "b", 0.8)], SCORE_SCHEMA)
+    lost.withColumns({"batch": F.lit("x"), "at": F.lit(1)}).write.parquet(f"{path}/rows/x")
+    os.makedirs(f"{path}/rows/y/_temporary")
+    with open(f"{path}/rows/y/part-0.parquet", "w") as file:
+        file.write("half of a")
+    assert [r["model"] for r in read_score_table(spark, path).collect()] == ["a"]
+    assert append_scores(lost, path).count() == 2
+
+
+def test_many_results_are_one_append(spark):
+    path = scratch_path(spark, "table")
+    plan = spark.createDataFrame([("s", "f", f"m{i}") for i in range(5)], "sampling string, feature_set string, model string")
+    run_pending(plan, path, lambda *k: spark.createDataFrame([row(*k)], SCORE_SCHEMA), hold_seconds=600)
+    assert len(os.listdir(f"{path}/manifests")) == 1 and read_score_table(spark, path).count() == 5
+
+
 def test_csv_parts_have_headers(spark, tmp_path):
     path = str(tmp_path / "y")
     write_table_csv(spark.range(100).select((F.col("id") % 2).alias("label")), path, parts=5)

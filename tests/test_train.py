@@ -2,19 +2,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsmith.operators.columns import assemble
-from rowsmith.operators.resample import train_test_split
+from rowsmith.operators.resample import kfold, train_test_split
 from rowsmith.operators.train import (
     MODEL_KEYS,
     TUNED_VALUES,
+    ExactAuc,
+    cross_validate,
     experiment,
     fit_score,
     grid_search,
+    halving_search,
     make_model,
     mlp_layers,
     param_grid,
     split_and_resample,
 )
 from rowsmith.session import scratch_path
+from rowsmith.sources.score_store import read_trials
 
 FEATURES = ["x", "y"]
 
@@ -64,6 +68,71 @@ def test_grid_search_picks_the_best(parts):
     assert not parts[0].is_cached
 
 
+def test_averages_are_exact(parts):
+    """Against the area by pairs, of models fitted one by one."""
+    rows = kfold(parts[0], "k", 3)
+    model = make_model("dt", "label", 2)
+    grid = param_grid(model, {"maxDepth": [1, 2]})
+    found = {(r["fold"], r["point"]): r["auc"] for r in cross_validate(model, grid, rows, "label", 3).collect()}
+    for (fold, point), auc in found.items():
+        scored = model.fit(rows.filter(F.col("fold") != fold), grid[point]).transform(rows.filter(F.col("fold") == fold))
+        got = [(r["label"], r["probability"][1]) for r in scored.collect()]
+        pairs = [(x > y) + (x == y) / 2 for a, x in got if a == 1 for b, y in got if b == 0]
+        assert auc == pytest.approx(sum(pairs) / len(pairs))
+        assert ExactAuc("label").evaluate(scored) == pytest.approx(auc)
+    assert len(found) == 6
+
+
+def test_halving_finds_what_grid_search_finds(spark, parts):
+    model = make_model("dt", "label", 2)
+    grid = param_grid(model, {"maxDepth": [0, 1, 3], "minInstancesPerNode": [1, 200]})
+    full = grid_search(model, grid, parts[0], "label", key="k")
+    halved = halving_search(model, grid, parts[0], "label", "k")
+    assert halved.best_params == full.best_params
+    best = halved.points.index(halved.best_params)
+    assert halved.shares[best] == max(halved.shares)
+    # With enough rows of both classes each round reads a larger share, for fewer points.
+    many = assemble(spark.range(6_000).selectExpr("id k", "double(id % 17) x", "double(id % 5) y", "int(id % 17 > 9) label"), FEATURES)
+    large = halving_search(model, grid, many, "label", "k")
+    assert sorted(large.shares) == pytest.approx([1 / 6] * 3 + [1 / 3, 1 / 2, 1 / 2])
+    assert large.best_params == grid_search(model, grid, many, "label", key="k").best_params
+    assert halved.model.bestModel.getOrDefault("maxDepth") == full.best_params["maxDepth"]
+    alone = halving_search(model, grid[:1], parts[0], "label", "k")
+    assert alone.best_params == alone.points[0]
+
+
+def test_halving_goes_on_after_a_break(parts):
+    model = make_model("dt", "label", 2)
+    grid = param_grid(model, {"maxDepth": [0, 1, 2, 3]})
+    stored = {}
+
+    def keep(rows):
+        if stored:
+            raise RuntimeError("lost")
+        stored.update({(turn, point): (share, average) for turn, point, share, average in rows})
+
+    with pytest.raises(RuntimeError):
+        halving_search(model, grid, parts[0], "label", "k", store=keep)
+    rounds = []
+    found = halving_search(model, grid, parts[0], "label", "k", known=stored, store=rounds.append)
+    assert [r[0][0] for r in rounds] == [1]  # the first round is not run again
+    assert found.averages == halving_search(model, grid, parts[0], "label", "k").averages
+
+
+def test_rounds_are_stored_beside_the_scores(spark, data):
+    path = scratch_path(spark, "table")
+    arguments = dict(
+        feature_sets={"both": FEATURES}, samplings=["ub"], models=["dt", "nb"], path=path, search="halving",
+        values={"dt": {"maxDepth": [1, 2, 3]}, "nb": {"smoothing": [1.0, 10.0]}}, folds=2,
+    )
+    found = experiment(data, "k", "label", **arguments)
+    assert {r["model"] for r in found.collect()} == {"dt", "nb"}
+    trials = read_trials(spark, path).groupBy("model", "turn").count().collect()
+    assert sorted(map(tuple, trials)) == [("dt", 0, 3), ("dt", 1, 2), ("nb", 0, 2)]
+    other = experiment(data, "k", "label", **{**arguments, "samplings": ["ub", "down"]})
+    assert other.count() == 4 and read_trials(spark, path).count() == 14
+
+
 def test_resampling_leaves_the_hold_out_alone(data):
     _, plain = split_and_resample(data, "k", "label", "ub")
     for sampling in ("down", "up"):
