@@ -69,14 +69,17 @@ from rowsmith.operators.quality import (
 from rowsmith.operators.reduce import (
     absolute_contributions,
     choose_by_elbow,
+    choose_clusters,
     choose_components,
     explained_variance_table,
     factor_eigenvalues,
+    factor_loadings,
     kmeans_clusters,
     kmeans_cost_curve,
     pca_filter,
     pca_fit,
     pca_project,
+    silhouettes,
     top_contributors,
 )
 from rowsmith.operators.resample import (
@@ -89,10 +92,13 @@ from rowsmith.operators.resample import (
 from rowsmith.operators.scores import best_model, compare_models, compare_samplings, run_pending
 from rowsmith.operators.train import (
     MODEL_KEYS,
+    ExactAuc,
+    cross_validate,
     experiment,
     experiment_plan,
     fit_score,
     grid_search,
+    halving_search,
     make_model,
     mlp_layers,
     param_grid,

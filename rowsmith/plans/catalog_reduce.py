@@ -7,20 +7,25 @@ forms. Signs of components are arbitrary, so single loadings are compared withou
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rowsmith.functions.expressions import tidy
 from rowsmith.operators.reduce import (
     absolute_contributions,
     choose_by_elbow,
+    choose_clusters,
     choose_components,
     explained_variance_table,
     factor_eigenvalues,
+    factor_loadings,
     kmeans_clusters,
     kmeans_cost_curve,
     pca_filter,
     pca_fit,
     pca_project,
+    silhouettes,
     top_contributors,
 )
 from rowsmith.plans.inputs import (
@@ -216,6 +221,87 @@ def l4_many(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "l4_factor_loadings",
+    f"""WITH {PREP_SQL}, r AS (SELECT abs(corr(price, acctbal)) AS r FROM prep),
+        l AS (SELECT sqrt((1 + r) / 2) AS a, sqrt((1 - r) / 2) AS b FROM r)
+        SELECT feature, factor, round(CASE factor WHEN 1 THEN a ELSE b END, 6) + 0.0 AS loading,
+               round(CASE WHEN (feature = 'price') = (factor = 1) THEN a + b ELSE a - b END / sqrt(2), 6) + 0.0 AS rotated,
+               1.0::DOUBLE AS communality
+        FROM l, (VALUES ('price'), ('acctbal')) AS f(feature), (VALUES (1), (2)) AS g(factor)""",
+)
+def l4_loadings(spark: SparkSession, folder: str) -> DataFrame:
+    """Two columns have a closed form: both load alike on each factor, and varimax turns the factors by an eighth.
+    The turned factors are equally strong, so they are named by the column that loads on them."""
+    found = factor_loadings(prep(spark, folder), ["price", "acctbal"], 2)
+    strongest = Window.partitionBy("factor").orderBy(F.abs("rotated").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    turned = found.withColumn("mine", F.first("feature").over(strongest)).select(
+        "feature", F.when(F.col("mine") == "price", 1).otherwise(2).alias("factor"), F.abs("rotated").alias("rotated")
+    )
+    plain = found.select("feature", "factor", F.abs("loading").alias("loading"), "communality")
+    return plain.join(turned, ["feature", "factor"]).select(
+        "feature", "factor", *[tidy(c).alias(c) for c in ("loading", "rotated", "communality")]
+    )
+
+
+@query(
+    "l4_reproduced_correlations",
+    f"""WITH {EMB_LONG_SQL}, r AS (
+          SELECT a.i AS i, b.i AS j, corr(a.v, b.v) AS r FROM emb_long AS a JOIN emb_long AS b USING (vec_id) GROUP BY a.i, b.i)
+        SELECT CAST(count(*) AS BIGINT) AS pairs, round(sum(r), 6) + 0.0 AS total, round(sum(r * r), 6) + 0.0 AS squares FROM r""",
+)
+def l4_reproduced(spark: SparkSession, folder: str) -> DataFrame:
+    """All rotated factors together give every correlation back: the product of two columns' loadings, summed over factors."""
+    found = factor_loadings(emb(spark, folder), EMB_DIMS, len(EMB_DIMS)).select("feature", "factor", "rotated")
+    other = found.select(F.col("feature").alias("with"), "factor", F.col("rotated").alias("its"))
+    pairs = found.join(other, "factor").groupBy("feature", "with").agg(F.sum(F.col("rotated") * F.col("its")).alias("r"))
+    return pairs.agg(
+        F.count(F.lit(1)).alias("pairs"), tidy(F.sum("r")).alias("total"), tidy(F.sum(F.col("r") * F.col("r"))).alias("squares")
+    )
+
+
+_FIXED_KS = (2, 5)
+
+
+def _silhouette_sql(k: int) -> str:
+    return f"""
+    SELECT CAST({k} AS INTEGER) AS k, cluster, count(*) AS n,
+           round(avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) + 0.0 AS silhouette
+    FROM (
+      SELECT vec_id, cluster, min(d) FILTER (WHERE c = cluster) AS a, min(d) FILTER (WHERE c <> cluster) AS b
+      FROM (
+        SELECT vec_id, r.cluster, m.cluster AS c, sqrt(sum((r.v - m.v) * (r.v - m.v))) AS d
+        FROM (SELECT vec_id, i, v, CAST(label % {k} AS INTEGER) AS cluster FROM emb_long JOIN embeddings USING (vec_id)) r
+        JOIN (SELECT CAST(label % {k} AS INTEGER) AS cluster, i, avg(v) AS v
+              FROM emb_long JOIN embeddings USING (vec_id) GROUP BY ALL) m USING (i)
+        GROUP BY ALL)
+      GROUP BY ALL)
+    GROUP BY cluster"""
+
+
+@query("l5_silhouettes", f"WITH {EMB_LONG_SQL} {' UNION ALL '.join(map(_silhouette_sql, _FIXED_KS))}")
+def l5_silhouettes(spark: SparkSession, folder: str) -> DataFrame:
+    """Of clusters that are given: the rows of a label's remainder by k."""
+    rows = emb(spark, folder)
+    parts = []
+    for k in _FIXED_KS:
+        found = silhouettes(rows.withColumn("cluster", (F.col("label") % k).cast("int")), EMB_DIMS)
+        parts.append(found.select(F.lit(k).alias("k"), "cluster", "n", tidy("silhouette").alias("silhouette")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("l5_choose_clusters", "SELECT unnest([2, 4, 8]) AS k, true AS in_range, true AS one_chosen WHERE (SELECT count(*) FROM embeddings) > 8")
+def l5_choose(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate: every k has a silhouette and exactly one k, that of the largest, is chosen."""
+    found = choose_clusters(emb(spark, folder), EMB_DIMS, [2, 4, 8], components=3)
+    whole = Window.partitionBy(F.lit(1))
+    best = F.max("silhouette").over(whole)
+    right = (F.sum(F.col("chosen").cast("int")).over(whole) == 1) & (~F.col("chosen") | (F.col("silhouette") == best))
+    return found.select("k", F.col("silhouette").between(-1, 1).alias("in_range"), right.alias("one_chosen"))
+
+
 @query(
     "l5_kmeans_clusters",
     "SELECT count(*) AS n, CAST(5 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced FROM embeddings",

@@ -6,14 +6,18 @@ from rowsmith.operators import reduce as reduce_module
 from rowsmith.operators.reduce import (
     absolute_contributions,
     choose_by_elbow,
+    choose_clusters,
     choose_components,
     explained_variance_table,
     factor_eigenvalues,
+    factor_loadings,
     kmeans_clusters,
     kmeans_cost_curve,
+    mean_silhouette,
     pca_filter,
     pca_fit,
     pca_project,
+    silhouettes,
     top_contributors,
 )
 
@@ -108,3 +112,49 @@ def test_filter_keeps_composites_that_exist(spark, data):
     assert set(found.columns[1:3]) == {"a", "b"}
     assert found.filter("d > 500").count() == 0
     assert pca_filter(df, COLS, 1, None).columns == ["a"]
+
+
+def test_varimax_finds_simple_structure(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(2_000, 2))
+    cols = ["a", "b", "c", "d", "e", "f"]
+    noisy = [base[:, i // 3] * 2 + rng.normal(size=2_000) * 0.3 for i in range(6)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*noisy)], ", ".join(f"{c} double" for c in cols))
+    rows = factor_loadings(df, cols).collect()
+    assert {r["factor"] for r in rows} == {1, 2}
+    table = np.array([[next(r["rotated"] for r in rows if (r["feature"], r["factor"]) == (c, f)) for f in (1, 2)] for c in cols])
+    assert all(sorted(np.abs(row))[0] < 0.1 and sorted(np.abs(row))[1] > 0.95 for row in table)
+    plain = np.array([[next(r["loading"] for r in rows if (r["feature"], r["factor"]) == (c, f)) for f in (1, 2)] for c in cols])
+    assert np.allclose(table @ table.T, plain @ plain.T)
+    corr = np.corrcoef(np.array(noisy))
+    full = factor_loadings(df, cols, 6).collect()
+    wide = np.zeros((6, 6))
+    for r in full:
+        wide[cols.index(r["feature"]), r["factor"] - 1] = r["rotated"]
+    assert np.allclose(wide @ wide.T, corr)
+
+
+def test_silhouettes_match_a_plain_loop(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(c), float(x + 3 * c), float(y)) for c, x, y in zip(rng.integers(0, 3, 200), rng.normal(size=200), rng.normal(size=200))]
+    df = spark.createDataFrame([*rows, (1, None, 0.0), (None, 1.0, 1.0)], "cluster int, x double, y double").repartition(4)
+    at = {c: np.mean([r[1:] for r in rows if r[0] == c], axis=0) for c in range(3)}
+    want = {c: [] for c in range(3)}
+    for c, x, y in rows:
+        far = {k: float(np.hypot(x - m[0], y - m[1])) for k, m in at.items()}
+        b = min(d for k, d in far.items() if k != c)
+        want[c].append((b - far[c]) / max(b, far[c]))
+    got = silhouettes(df, ["x", "y"])
+    for r in got.collect():
+        assert r["n"] == len(want[r["cluster"]]) and r["silhouette"] == pytest.approx(np.mean(want[r["cluster"]]))
+    whole = mean_silhouette(got).head()
+    assert whole["clusters"] == 3 and whole["silhouette"] == pytest.approx(np.mean(sum(want.values(), [])))
+    one = silhouettes(df.filter("cluster = 1"), ["x", "y"]).collect()
+    assert [r["silhouette"] for r in one] == [None]
+
+
+def test_the_right_number_of_clusters_is_chosen(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(x + 20 * (i % 4)), float(y)) for i, (x, y) in enumerate(rng.normal(size=(400, 2)))]
+    found = choose_clusters(spark.createDataFrame(rows, "x double, y double"), ["x", "y"], [2, 3, 4, 6]).collect()
+    assert [r["k"] for r in found if r["chosen"]] == [4]
