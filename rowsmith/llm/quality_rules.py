@@ -152,11 +152,12 @@ def _bad_line(line: Column, phrases: Column) -> Column:
 
 def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text") -> DataFrame:
     """Add a struct column ``name``: counts, base_failed, kept, and the text without failed lines and sentences."""
-    names = ("text", "words", "lines", "bad", "hashes", "counts", "phrases", "cuts")
-    text, words, lines, bad, hashes, counts, phrases, cuts = (hidden(x) for x in names)
+    names = ("text", "words", "lines", "marks", "hashes", "counts", "phrases", "parts")
+    text, words, lines, marks, hashes, counts, phrases, parts = (hidden(x) for x in names)
     read = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
     read = read.withColumn(words, words_of(F.col(text)))
-    solid_lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
+    has_word = lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))
+    solid_lines = F.filter(F.split(F.col(text), "\n", -1), has_word)
     w = F.col(words)
     read = read.withColumn(
         hashes,
@@ -167,17 +168,24 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
     ).withColumn(lines, solid_lines)
     lower = F.lower(F.col(text))
     read = read.withColumn(phrases, reduce(lambda a, b: a | b, [F.contains(lower, F.lit(p)) for p in BOILERPLATE]))
-    read = read.withColumn(bad, F.filter(F.col(lines), lambda x: _bad_line(x, F.col(phrases))))
-    # Sentences to cut out of long lines that stay.
-    long = lambda x: _n_words(x) > LONG_WORDS
-    failing = lambda x: F.filter(F.split(x, SENTENCE_END, -1), _boilerplate)
+    # Every line is judged once, where it stands; later steps read the mark.
+    fails = lambda x: F.coalesce(has_word(x) & _bad_line(x, F.col(phrases)), F.lit(False))
     read = read.withColumn(
-        cuts,
-        F.when(
-            F.col(phrases),
-            F.flatten(F.transform(F.filter(F.col(lines), lambda x: long(x) & ~F.array_contains(F.col(bad), x)), failing)),
-        ).otherwise(F.array().cast("array<string>")),
+        marks, F.transform(F.split(F.col(text), "\n", -1), lambda x: F.struct(x.alias("line"), fails(x).alias("bad")))
     )
+    # What stays of long lines whose sentences are judged one by one; null for other lines.
+    good = lambda x: F.array_join(F.filter(F.split(x, SENTENCE_END, -1), lambda p: ~_boilerplate(p)), "")
+    cut = lambda m: F.col(phrases) & ~m["bad"] & (_n_words(m["line"]) > LONG_WORDS)
+    read = read.withColumn(
+        parts,
+        F.transform(
+            F.col(marks),
+            lambda m: F.struct(m["line"].alias("line"), m["bad"].alias("bad"), F.when(cut(m), good(m["line"])).alias("rest")),
+        ),
+    )
+    lost = lambda m: F.when(m["bad"], _solid(m["line"])).when(
+        m["rest"].isNotNull(), _solid(m["line"]) - _solid(m["rest"])
+    ).otherwise(0)
     h = F.col(hashes)
     repeats = F.when(F.size(F.array_distinct(h)) < F.size(h), _repeat_words(words, hashes)).otherwise(F.lit(0))
     solid = _solid(F.col(text))
@@ -189,20 +197,15 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
             (F.length(F.col(text)) - F.length(_strip(F.col(text), SYMBOLS))).cast("long").alias("n_symbols"),
             (F.size(F.col(lines)) - F.size(F.array_distinct(F.col(lines)))).cast("long").alias("n_dup_lines"),
             repeats.cast("long").alias("n_repeat_words"),
-            F.aggregate(F.concat(F.col(bad), F.col(cuts)), F.lit(0).cast("long"), lambda s, x: s + _solid(x)).alias("lost_chars"),
+            F.aggregate(F.col(parts), F.lit(0).cast("long"), lambda s, m: s + lost(m)).alias("lost_chars"),
         ),
     )
     c = F.col(counts)
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda x: ~F.array_contains(F.array_distinct(F.col(bad)), x))
     # A long line of which no sentence stays goes whole.
-    rest = lambda x: F.array_join(F.filter(F.split(x, SENTENCE_END, -1), lambda p: ~F.array_contains(F.col(cuts), p)), "")
-    shorter = F.filter(F.transform(left, lambda x: F.when(long(x), F.nullif(rest(x), F.lit(""))).otherwise(x)), lambda x: x.isNotNull())
-    clean = (
-        F.when(F.size(F.col(cuts)) > 0, F.array_join(shorter, "\n"))
-        .when(F.size(F.col(bad)) > 0, F.array_join(left, "\n"))
-        .otherwise(F.col(text_col))
-    )
+    stays = lambda m: F.when(~m["bad"], F.when(m["rest"].isNotNull(), F.nullif(m["rest"], F.lit(""))).otherwise(m["line"]))
+    left = F.filter(F.transform(F.col(parts), stays), lambda x: x.isNotNull())
+    clean = F.when(c["lost_chars"] > 0, F.array_join(left, "\n")).otherwise(F.col(text_col))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars")
     return read.withColumn(
         name,
@@ -212,7 +215,7 @@ def with_quality(docs: DataFrame, name: str = "quality", text_col: str = "text")
             settled(~failed & (c["lost_chars"] <= MAX_LOST * c["word_chars"])).alias("kept"),
             clean.alias("clean"),
         ),
-    ).drop(text, words, lines, bad, hashes, counts, phrases, cuts)
+    ).drop(text, words, lines, marks, hashes, counts, phrases, parts)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

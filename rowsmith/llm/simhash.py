@@ -344,13 +344,13 @@ def keep_one(
     """The rows of ``docs`` without near copies: of each component one row with its smallest id, if it has any."""
     fp, key = hidden("fp"), hidden("key")
     text_batches(docs.sparkSession)
-    print_of = fingerprint(F.col(text_col), shingle_words)
-    prints = materialise(docs.select(F.col(id_col).alias("id"), print_of.alias("fp")), "prints")
-    classes = _classes(prints, "id", max_bits)
+    # Rows are written with their fingerprints, which are worked out once.
+    prints = materialise(docs.withColumn(fp, fingerprint(F.col(text_col), shingle_words)), "prints")
+    classes = _classes(prints.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")), "id", max_bits)
     # Of each component the class with its smallest id, a class without any id last, then the first fingerprint.
     first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp"))
     chosen = classes.groupBy("root").agg(first.alias("m")).select(F.col("m.fp").alias(fp), _text_key("m.low").alias(key))
-    marked = docs.withColumn(fp, print_of).withColumn(key, _text_key(id_col))
+    marked = prints.withColumn(key, _text_key(id_col))
     return marked.join(chosen, [fp, key]).dropDuplicates([fp, key]).select(*docs.columns)
 
 

@@ -251,7 +251,8 @@ def write_token_files(
     rows = docs.select(
         number.alias("part"), F.col(id_col).cast("long").alias("id"), token_bytes(F.col(text_col), vocabulary, end_id).alias("ids")
     )
-    ordered = rows.repartition(parts, "part").sortWithinPartitions("part", "id", "ids")
+    # Each part is a task of its own: part numbers are partition numbers, not hashed onto them.
+    ordered = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "id", "ids")
     ordered.mapInArrow(_pack_parts, SEGMENT).write.option("compression", "none").parquet(path)
 
 
