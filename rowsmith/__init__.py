@@ -33,6 +33,7 @@ from rowsmith.operators.correlate import (
     correlation_array,
     correlation_long,
     label_correlation,
+    pair_counts,
     pearson_matrix,
     rank_table,
     select_correlated,
@@ -90,6 +91,7 @@ from rowsmith.operators.resample import (
     undersample,
 )
 from rowsmith.operators.scores import best_model, compare_models, compare_samplings, run_pending
+from rowsmith.operators.wide import fit_wide, wide_components, wide_project, wide_scores
 from rowsmith.operators.train import (
     MODEL_KEYS,
     ExactAuc,

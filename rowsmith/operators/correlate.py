@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from rowsmith.functions.moments import co_moments
 from rowsmith.functions.prefix import BUCKET_ROWS, bucket_limits, running_totals, value_counts, with_buckets
 from rowsmith.operators.align import lookup
-from rowsmith.operators.columns import assemble
 from rowsmith.session import written
 
 # A column's rank table is broadcast up to this many distinct values (a few megabytes).
@@ -70,24 +69,29 @@ def _replace_by_rank(rows: DataFrame, cols: Sequence[str], ranks: DataFrame) ->
 
 
 def correlation_array(
-    df: DataFrame, cols: Sequence[str], method: str = "spearman", rows_per_bucket: int = BUCKET_ROWS
+    df: DataFrame,
+    cols: Sequence[str],
+    method: str = "spearman",
+    rows_per_bucket: int = BUCKET_ROWS,
+    nulls: str = "listwise",
 ) -> np.ndarray:
     """The d x d matrix on the driver; its size depends on the number of columns only.
 
-    Spearman's is Pearson's over average ranks. The rank table is kept while the matrix is
-    computed, and so are the ranked rows.
+    One pass of mergeable co-moments. With ``nulls="listwise"`` a row with a null in any column is left out, with "pairwise" it
+    counts for all pairs in which it has both values. Spearman's is Pearson's over average ranks, which hang on the rows
+    that are left, so it is listwise only. The rank table is kept while the matrix is computed.
     """
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown correlation method: {method}")
-    rows, kept = _complete(df, cols), []
+    if nulls not in ("listwise", "pairwise") or (nulls == "pairwise" and method == "spearman"):
+        raise ValueError(f"no {method} correlation with nulls {nulls}")
+    rows, kept = (df if nulls == "pairwise" else _complete(df, cols)), []
     try:
         if method == "spearman":
             ranks = rank_table(rows, cols, rows_per_bucket).persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(ranks)
-            rows = _replace_by_rank(rows, cols, ranks).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(rows)
-        found = Correlation.corr(assemble(rows, cols).select("features"), "features", "pearson")
-        return found.head()[0].toArray()
+            rows = _replace_by_rank(rows, cols, ranks)
+        return co_moments(rows, cols).correlation()
     finally:
         for frame in kept:
             frame.unpersist()
@@ -99,9 +103,21 @@ def _matrix_frame(df: DataFrame, cols: Sequence[str], matrix: np.ndarray) -> Dat
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per feature, named in ``feature``, and one column per feature."""
-    return _matrix_frame(df, cols, correlation_array(df, cols, "pearson"))
+def pearson_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "listwise") -> DataFrame:
+    """One row per feature, named in ``feature``, and one column per feature; ``nulls`` as in :func:`correlation_array`."""
+    return _matrix_frame(df, cols, correlation_array(df, cols, "pearson", nulls=nulls))
+
+
+def pair_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows (feature_a, feature_b, n, mean_a, covariance): what stands behind a pairwise matrix; null without a value."""
+    found = co_moments(df, cols)
+    spread = found.covariance()
+    rows = [
+        (a, b, int(found.n[i, j]), float(found.mean[i, j]) if found.n[i, j] else None, float(spread[i, j]) if found.n[i, j] > 1 else None)
+        for i, a in enumerate(found.cols)
+        for j, b in enumerate(found.cols)
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, n long, mean_a double, covariance double")
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

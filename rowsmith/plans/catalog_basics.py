@@ -173,7 +173,7 @@ def j2_position(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("j2_align_by_position_files", f"WITH {LINE_SQL} SELECT * FROM line")
 def j2_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Features and label stored as folders of five and three files of unequal sizes, in one order."""
+    """Features and label stored as five and three folders of unequal sizes, each of sorted files, in one order."""
     rows = with_position(line(spark, folder))
     last = rows.agg(F.max("position")).head()[0] or 0
     read = []
@@ -186,7 +186,8 @@ def j2_files(spark: SparkSession, folder: str) -> DataFrame:
         path = scratch_path(spark, "parts")
         dealt = rows.withColumn("part", part)
         for i in range(parts):
-            dealt.filter(F.col("part") == i).coalesce(1).sortWithinPartitions("position").select(*cols).write.parquet(f"{path}/piece-{i}")
+            piece = dealt.filter(F.col("part") == i).repartitionByRange("position").sortWithinPartitions("position")
+            piece.select(*cols).write.parquet(f"{path}/piece-{i}")
         read.append(spark.read.parquet(*[f"{path}/piece-{i}" for i in range(parts)]))
     return align_by_position(*read)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsmith.functions.expressions import tidy
 from rowsmith.operators.correlate import (
     correlation_long,
     label_correlation,
+    pair_counts,
     pearson_matrix,
     rank_table,
     spearman_matrix,
@@ -85,6 +86,52 @@ def a6(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(pearson_matrix(line(spark, folder), _LINE_ALL))
 
 
+# Features with gaps in different rows, as answers that were not given.
+_GAPS = {"l_quantity": "l_linenumber % 5 = 0", "l_discount": "l_partkey % 7 = 3", "l_tax": "l_suppkey % 3 = 1 AND l_tax > 0.05"}
+_GAP_ALL = [*_GAPS, "l_extendedprice"]
+_GAP_SQL = (
+    "gaps AS (SELECT "
+    + ", ".join(f"CASE WHEN {gap} THEN NULL ELSE {c} END AS {c}" for c, gap in _GAPS.items())
+    + ", l_extendedprice FROM lineitem)"
+)
+
+
+def _gaps(spark: SparkSession, folder: str) -> DataFrame:
+    rows = load_table(spark, folder, "lineitem")
+    parts = [F.when(F.expr(gap), None).otherwise(F.col(c)).alias(c) for c, gap in _GAPS.items()]
+    return rows.select(*parts, "l_extendedprice")
+
+
+@query("a6_pearson_pairwise", f"WITH {_GAP_SQL} {_matrix_sql('gaps', _GAP_ALL)}")
+def a6_pairwise(spark: SparkSession, folder: str) -> DataFrame:
+    """Each pair over the rows in which both have a value."""
+    return _rounded(pearson_matrix(_gaps(spark, folder), _GAP_ALL, nulls="pairwise"))
+
+
+_NO_GAP_SQL = f"whole AS (SELECT * FROM gaps WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _GAPS)})"
+
+
+@query("a6_pearson_listwise", f"WITH {_GAP_SQL}, {_NO_GAP_SQL} {_matrix_sql('whole', _GAP_ALL)}")
+def a6_listwise(spark: SparkSession, folder: str) -> DataFrame:
+    """Only rows without a gap."""
+    return _rounded(pearson_matrix(_gaps(spark, folder), _GAP_ALL))
+
+
+@query(
+    "a6_pair_counts",
+    f"WITH {_GAP_SQL} "
+    + " UNION ALL ".join(
+        f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b, CAST(regr_count({b}, {a}) AS BIGINT) AS n,
+            round(regr_avgx({b}, {a}), 4) + 0.0 AS mean_a, round(covar_samp({a}, {b}), 4) + 0.0 AS covariance FROM gaps"""
+        for a in _GAP_ALL
+        for b in _GAP_ALL
+    ),
+)
+def a6_counts(spark: SparkSession, folder: str) -> DataFrame:
+    found = pair_counts(_gaps(spark, folder), _GAP_ALL)
+    return found.withColumns({"mean_a": tidy("mean_a", 4), "covariance": tidy("covariance", 4)})
+
+
 @query(
     "a7_spearman_matrix",
     f"WITH {PREP_SQL}, {_ranks_sql('prep', _PREP_ALL, 'ranks')} {_matrix_sql('ranks', _PREP_ALL)}",

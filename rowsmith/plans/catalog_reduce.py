@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rowsmith.functions.expressions import tidy
+from rowsmith.operators.correlate import correlation_array
 from rowsmith.operators.reduce import (
     absolute_contributions,
     choose_by_elbow,
@@ -28,6 +30,7 @@ from rowsmith.operators.reduce import (
     silhouettes,
     top_contributors,
 )
+from rowsmith.operators.wide import fit_wide, wide_components, wide_scores
 from rowsmith.plans.inputs import (
     EMB_DIMS,
     EMB_LONG_SQL,
@@ -40,6 +43,7 @@ from rowsmith.plans.inputs import (
     prep,
 )
 from rowsmith.plans.registry import query
+from rowsmith.sources.tables import load_table
 
 # Two columns: the angle of the first axis and both eigenvalues.
 _ANGLE_SQL = f"""
@@ -90,6 +94,50 @@ def l1_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return _rebuilt(pca_fit(emb(spark, folder), EMB_DIMS))
 
 
+@query(
+    "l1_wide_components",
+    f"""WITH {EMB_LONG_SQL}
+       SELECT a.i AS a, b.i AS b, round(covar_samp(a.v, b.v), 6) + 0.0 AS covariance
+       FROM emb_long AS a JOIN emb_long AS b USING (vec_id) GROUP BY a.i, b.i""",
+)
+def l1_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """All components, found 16 directions at a time; the covariances are rebuilt from them."""
+    found = wide_components(load_table(spark, folder, "embeddings"), "embedding", 64, width=16)
+    long = found.select("component", "eigenvalue", F.posexplode("loadings").alias("place", "loading"))
+    left = long.select((F.col("place") + 1).cast("long").alias("a"), "component", "eigenvalue", F.col("loading").alias("x"))
+    right = long.select((F.col("place") + 1).cast("long").alias("b"), "component", F.col("loading").alias("y"))
+    pairs = left.join(right, "component").groupBy("a", "b")
+    return pairs.agg(tidy(F.sum(F.col("x") * F.col("y") * F.col("eigenvalue"))).alias("covariance"))
+
+
+@query(
+    "l2_wide_project",
+    f"WITH {EMB_LONG_SQL} SELECT vec_id, round(sum(v * v), 6) + 0.0 AS length2 FROM emb_long GROUP BY vec_id",
+)
+def l2_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """A turn into all components keeps the length of every vector."""
+    rows = load_table(spark, folder, "embeddings")
+    fit = fit_wide(rows, "embedding", 64, width=16)
+    turned = rows.select("vec_id", wide_scores(F.col("embedding"), fit).alias("scores"))
+    length = F.aggregate("scores", F.lit(0.0), lambda total, x: total + x * x)
+    return turned.select("vec_id", tidy(length).alias("length2"))
+
+
+@query(
+    "l4_wide_eigenvalues",
+    "SELECT unnest(range(1, 6)) AS factor, true AS same_value, true AS same_direction",
+)
+def l4_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The five strongest factors of the correlation matrix, beside those of the whole matrix."""
+    fit = fit_wide(load_table(spark, folder, "embeddings"), "embedding", 5, standardize=True, tolerance=1e-9)
+    values, vectors = np.linalg.eigh(correlation_array(emb(spark, folder), EMB_DIMS, "pearson"))
+    overlap = np.abs((vectors[:, ::-1][:, :5] * fit.loadings).sum(axis=0))
+    same = [
+        (j + 1, bool(abs(values[-1 - j] - fit.values[j]) < 1e-6), bool(overlap[j] > 1 - 1e-6)) for j in range(5)
+    ]
+    return spark.createDataFrame(same, "factor long, same_value boolean, same_direction boolean")
+
+
 @query(
     "l2_pca_project",
     f"""{_ANGLE_SQL} SELECT o_orderkey,
