@@ -39,26 +39,27 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals after four batches: load, new word rule, exact copies out, and the last sent twice."""
+    """Totals after four batches: load, new word rule, exact copies out, and the last sent twice.
+
+    Copies are rows of equal text (by SHA-256; null is the empty text); the one with the smallest id stays, a row without an id only where
+    no copy has one.
+    """
     docs = materialise(token_counts.count_corpus(table(spark, folder, "documents"), VOCABULARY), "counts")
     rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
     load = token_counts.inserts(docs, "words/1", "words").unionByName(token_counts.inserts(docs, "byte_bpe_50k", "bpe"))
     rollup.commit("load", load)
     rollup.commit("words-2", token_counts.revisions(docs, ("words/1", "words"), ("words/2", "marked")))
     rollup.compact()
-    first = docs.groupBy(_text_key().alias("text_key")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).filter("n > 1")
-    copies = join_split(docs.withColumn("text_key", _text_key()), first, "text_key", "n")
-    out = copies.filter("doc_id <> first")
+    # The row that stays is told by its number, as ids may be null or repeat.
+    stays = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"]
+    first = docs.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n"), stays.alias("stays")).filter("n > 1")
+    out = join_split(docs, materialise(first, "copies"), "text_sha256", "n").filter("row <> stays")
     gone = token_counts.deletes(out, "words/2", "marked").unionByName(token_counts.deletes(out, "byte_bpe_50k", "bpe"))
     rollup.commit("copies", gone)
     rollup.commit("copies", gone)
     return rollup.totals()
 
 
-def _text_key():
-    return F.struct("text_hash", "chars", "words", "bpe")
-
-
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of benchmark windows in every document."""
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -168,6 +169,27 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN which USING (r)
 """
 
 
+OP12_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM docs),
+cuts AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+pieces AS (
+  SELECT doc_id, t, n, form, a, b - a AS m, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1, n - b) AS z FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                        WHEN 'spm' THEN '<S>' || z || '<P>' || x || '<M>' || y ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM pieces
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    """SQL can say the benchmark search; the others are held against brute force in tests/llm."""
-    return {"op4_decontaminate": OP4_SQL}
+    """SQL can say the benchmark search and the cuts; the others are held against brute force in tests/llm."""
+    return {"op4_decontaminate": OP4_SQL, "op12_fill_in_middle": OP12_SQL}

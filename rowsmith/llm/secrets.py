@@ -5,19 +5,20 @@ method adds spans of kind ``random``:
 
 1. Candidates are runs of encoding characters of ``MIN_CHARS`` or more that hold letters and digits.
 2. The encoding is inferred from the characters: hexadecimal, base 32, alphanumeric or base 64.
-3. Three tests against a uniform random string over that alphabet: chi-squared of the character
-   counts, the Wald-Wolfowitz number of runs above and below the alphabet's middle, and the lag-one
-   serial correlation of the characters' numbers. A candidate that one of them rejects at
+3. Tests against a uniform random string over that alphabet: chi-squared of the character
+   counts and of the counts of digits, capitals and small letters, the Wald-Wolfowitz number of runs above and below the
+   alphabet's middle, and the lag-one serial correlation of the characters' numbers. A candidate that one of them rejects at
    ``REJECT`` is no secret.
 4. What is left is held against ordinary text: by the chi-squared statistic, when two characters are equal as often
    as in prose (``TEXT_SAME``, at least twice as often as in a uniform alphabet), which must be improbable at
    ``FALSE_SHARE``; and by the cost of its pairs of neighbours (``PAIR_COST``: bits of a letter after a letter in
    prose, and fixed ones for digits, separators and capitals within words) against the mean cost in
-   ordinary tokens. A weighted Benjamini-Hochberg step on the second p-value, over the candidates of a document that
+   ordinary tokens (``HEX_MEAN`` for hexadecimal ones, as ordinary tokens of those characters are mostly numbers). A weighted Benjamini-Hochberg step on the second p-value, over the candidates of a document that
    no test of step 3 rejects, with weights that grow with length up to ``FULL_CHARS``, keeps the share of
    false finds below ``FALSE_SHARE``. That p-value is so small for keys that hundreds of ordinary tokens do not hide them.
 
-A candidate whose characters fit no single encoding is cut at its separators; the pieces are candidates.
+A candidate with separators is also cut at them, and the pieces are candidates of their own; a piece inside a candidate that is found
+whole is not listed again.
 
 All of it is expressions over arrays of one row: no shuffle and no Python. Positions come from
 the lengths of the pieces between matches.
@@ -52,8 +53,9 @@ FALSE_SHARE = 0.05
 TEXT_SAME = 0.065
 # Cost of the pairs of the costliest usual tokens (short words joined by capitals, with numbers), spread widened.
 PAIR_MEAN = 4.3
+HEX_MEAN = 3.3
 PAIR_SPREAD = 2.1
-DIGITS_COST, MIXED_COST, SEPARATOR_COST, CAPITAL_COST = 3, 7, 4, 6
+DIGITS_COST, MIXED_COST, SEPARATOR_COST, CAPITAL_COST = 3, 7, 4, 4
 # Minus log2 of the share of a letter after a letter, rounded, a row of 26 for each first letter.
 PAIR_COST = (
     "66555977498562679442488979699929995791994995894999495979399129959939989469999945971995399695399654696999"
@@ -73,6 +75,8 @@ ALNUM_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 URL64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
 
+CLASSES = (ALNUM_ALPHABET[:10], ALNUM_ALPHABET[10:36], ALNUM_ALPHABET[36:])
+
 # The first encoding that all characters fit is inferred.
 ENCODINGS = (
     ("hex", HEX_ALPHABET),
@@ -158,10 +162,16 @@ def _measures(value: Column, alphabet: Column) -> Column:
     """Chi-squared of the character counts, and sums over the characters' numbers in order."""
     k = F.length(alphabet).cast("double")
     n = F.length(value).cast("double")
+    # Equal characters lie side by side once sorted; the r-th of them adds r^2 - (r - 1)^2.
     squares = F.aggregate(
-        F.split(alphabet, ""),
-        F.lit(0.0),
-        lambda s, c: s + F.pow((n - F.length(F.replace(value, c, F.lit("")))), F.lit(2.0)),
+        F.array_sort(F.split(value, "")),
+        F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("run"), F.lit("").alias("last")),
+        lambda s, c: F.struct(
+            (s["sum"] + F.when(c == s["last"], 2 * s["run"] + 1).otherwise(1.0)).alias("sum"),
+            F.when(c == s["last"], s["run"] + 1).otherwise(1.0).alias("run"),
+            c.alias("last"),
+        ),
+        lambda s: s["sum"],
     )
     # Numbers around zero: above and below the middle of the alphabet.
     numbers = F.transform(F.split(value, ""), lambda c: F.instr(alphabet, c) - 1 - (k - 1) / 2)
@@ -180,7 +190,23 @@ def _measures(value: Column, alphabet: Column) -> Column:
             x.alias("last"),
         ),
     )
-    return F.struct(k.alias("k"), n.alias("n"), (squares * k / n - n).alias("chi"), walk.alias("w"))
+    return F.struct(
+        k.alias("k"), n.alias("n"), (squares * k / n - n).alias("chi"), _class_test(value, alphabet).alias("classes"), walk.alias("w")
+    )
+
+
+def _class_test(value: Column, alphabet: Column) -> Column:
+    """p-value of the numbers of digits, capitals and small letters, by chi-squared."""
+    k, n = F.length(alphabet).cast("double"), F.length(value).cast("double")
+    chi, classes, covered = F.lit(0.0), F.lit(0.0), F.lit(0.0)
+    for chars in CLASSES:
+        size = k - F.length(F.translate(alphabet, chars, ""))
+        seen = n - F.length(F.translate(value, chars, ""))
+        usual = F.greatest(size, F.lit(1.0)) * n / k
+        chi = chi + F.when(size > 0, (seen - usual) * (seen - usual) / usual).otherwise(0.0)
+        classes = classes + (size > 0).cast("double")
+        covered = covered + size
+    return _upper(_cube_root_z(chi, F.greatest(classes - (covered == k).cast("double"), F.lit(1.0))))
 
 
 def _p_values(m: Column) -> Column:
@@ -197,11 +223,13 @@ def _p_values(m: Column) -> Column:
     # In prose two characters are the same with probability TEXT_SAME: a shifted, wider chi-squared.
     far = n * (F.greatest(k * TEXT_SAME, F.lit(2.0)) - 1)
     text_z = (chi - (k - 1 + far)) / F.sqrt(2 * (k - 1) + 4 * far)
-    return F.struct(F.least(uniform, runs, serial).alias("fit"), (1 - _upper(text_z)).alias("text"))
+    # No words are made of hexadecimal characters alone, so there is no prose to hold those against.
+    prose = F.when(k == len(HEX_ALPHABET), 0.0).otherwise(1 - _upper(text_z))
+    return F.struct(F.least(uniform, m["classes"], runs, serial).alias("fit"), prose.alias("text"))
 
 
-def _pair_p(value: Column) -> Column:
-    """p-value of the mean cost of neighbours against ordinary tokens."""
+def _pair_p(value: Column, k: Column) -> Column:
+    """p-value of the mean cost of neighbours against ordinary tokens of an alphabet of k characters."""
     between = lambda x, a, b: (x >= a) & (x <= b)
     digit = lambda x: between(x, "0", "9")
     letter = lambda x: between(F.lower(x), "a", "z")
@@ -224,11 +252,13 @@ def _pair_p(value: Column) -> Column:
         lambda s: s["n"],
     )
     pairs = (F.length(value) - 1).cast("double")
-    return _upper((total - pairs * PAIR_MEAN) / (F.sqrt(pairs) * PAIR_SPREAD))
+    usual = F.when(k == len(HEX_ALPHABET), HEX_MEAN).otherwise(PAIR_MEAN)
+    return _upper((total - pairs * usual) / (F.sqrt(pairs) * PAIR_SPREAD))
 
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}+" % MIN_CHARS
 PIECE = r"[A-Za-z0-9]{%d,}+" % MIN_CHARS
+SEPARATORS = r"[+/_-]"
 
 
 def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -237,22 +267,23 @@ def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
     whole, pieces = hidden("whole"), hidden("pieces")
     cand, measured, tested, ordered, limit = (F.col(x) for x in steps)
 
-    def mixed(pattern: str) -> Column:
+    def mixed(value: Column, pattern: str) -> Column:
         return F.filter(
-            _spans(F.col(text), pattern, KINDS.index("random"), MIN_CHARS),
+            _spans(value, pattern, KINDS.index("random"), MIN_CHARS),
             lambda m: F.regexp_like(m["value"], F.lit("[0-9]")) & F.regexp_like(m["value"], F.lit("[A-Za-z]")),
         )
 
     spelled = lambda x: F.transform(x, lambda m: F.struct(m.alias("m"), _alphabet(m["value"]).alias("a")))
-    inside = lambda p: F.exists(
-        F.col(whole), lambda c: c["a"].isNull() & (c["m"]["start"] <= p["m"]["start"]) & (p["m"]["stop"] <= c["m"]["stop"])
-    )
-    df = df.withColumn(whole, spelled(mixed(CANDIDATE)))
+
+    def moved(m: Column, by: Column) -> Column:
+        return F.struct((m["start"] + by).alias("start"), m["kind"].alias("kind"), (m["stop"] + by).alias("stop"), m["value"].alias("value"))
+
+    def parts(c: Column) -> Column:
+        return spelled(F.transform(mixed(c["m"]["value"], PIECE), lambda m: moved(m, c["m"]["start"])))
+
+    df = df.withColumn(whole, spelled(mixed(F.col(text), CANDIDATE)))
     df = df.withColumn(
-        pieces,
-        F.when(F.exists(F.col(whole), lambda c: c["a"].isNull()), F.filter(spelled(mixed(PIECE)), inside)).otherwise(
-            F.filter(F.col(whole), lambda c: F.lit(False))
-        ),
+        pieces, F.flatten(F.transform(F.filter(F.col(whole), lambda c: F.regexp_like(c["m"]["value"], F.lit(SEPARATORS))), parts))
     )
     weight = lambda m: F.least(F.lit(1.0), F.length(m["value"]) / F.lit(float(FULL_CHARS)))
     out = (
@@ -264,14 +295,14 @@ def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
                 lambda c: F.struct(c["m"].alias("m"), _measures(c["m"]["value"], c["a"]).alias("x")),
             ),
         )
-        .withColumn(steps[2], F.transform(measured, lambda c: F.struct(c["m"].alias("m"), _p_values(c["x"]).alias("p"))))
+        .withColumn(steps[2], F.transform(measured, lambda c: F.struct(c["m"].alias("m"), c["x"]["k"].alias("k"), _p_values(c["x"]).alias("p"))))
         .withColumn(
             steps[3],
             F.array_sort(
                 F.transform(
                     F.filter(tested, lambda t: t["p"]["fit"] >= REJECT),
                     lambda t: F.struct(
-                        (_pair_p(t["m"]["value"]) / weight(t["m"])).alias("q"),
+                        (_pair_p(t["m"]["value"], t["k"]) / weight(t["m"])).alias("q"),
                         (t["p"]["text"] / weight(t["m"])).alias("text"),
                         t["m"].alias("m"),
                     ),
@@ -288,7 +319,18 @@ def _with_random(df: DataFrame, text: str, name: str) -> DataFrame:
         )
     )
     passed = F.filter(ordered, lambda t: (t["q"] <= limit) & (t["text"] <= FALSE_SHARE))
-    return out.withColumn(name, F.transform(passed, lambda t: t["m"])).drop(*steps, whole, pieces)
+    # By start, the longest first: a span that ends within the one before lies inside it.
+    ordered_spans = F.array_sort(F.transform(passed, lambda t: F.struct(t["m"]["start"].alias("start"), (-t["m"]["stop"]).alias("stop"), t["m"].alias("m"))))
+    outer = F.aggregate(
+        ordered_spans,
+        F.struct(F.lit(0).alias("upto"), F.filter(F.transform(passed, lambda t: t["m"]), lambda m: F.lit(False)).alias("kept")),
+        lambda s, x: F.struct(
+            F.greatest(s["upto"], x["m"]["stop"]).alias("upto"),
+            F.when(x["m"]["stop"] > s["upto"], F.array_append(s["kept"], x["m"])).otherwise(s["kept"]).alias("kept"),
+        ),
+        lambda s: s["kept"],
+    )
+    return out.withColumn(name, outer).drop(*steps, whole, pieces)
 
 
 def with_secrets(docs: DataFrame, name: str = "secrets", text_col: str = "text") -> DataFrame:

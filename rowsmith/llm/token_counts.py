@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsmith.llm.bpe import encoder
-from rowsmith.llm.common import text_batches
+from rowsmith.llm.common import sha256_hex, text_batches
 
 GROUP = ("source", "lang", "tokenizer")
 CHANGE = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -88,11 +88,19 @@ class Rollup:
             names |= {r["id"] for r in self.spark.read.parquet(f"{self.path}/{folded}/ids").collect()}
         return sorted(names)
 
+    def _known(self, batch: str) -> bool:
+        """Whether one batch counts already; ids of other batches stay where they are."""
+        if self._done(f"{self.path}/batch-{batch}"):
+            return True
+        folded = self._snapshot()
+        ids = self.spark.read.parquet(f"{self.path}/{folded}/ids") if folded else None
+        return ids is not None and not ids.filter(F.col("id") == batch).isEmpty()
+
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch; False, and nothing changed, if its id is committed already."""
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
             raise ValueError(f"not a batch id: {batch!r}")
-        if batch in self.committed():
+        if self._known(batch):
             return False
         summed = changes.groupBy(*GROUP).agg(
             *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("docs", "tokens")]
@@ -129,15 +137,15 @@ class Rollup:
 
 
 def count_corpus(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Counts of every document: source, lang, words, marked words, bpe and a hash of the text."""
+    """Counts of every document: source, lang, words, marked words, bpe, the digest of the text and a number of the row."""
     text_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         "doc_id",
         "source",
         "lang",
-        F.xxhash64(text).alias("text_hash"),
-        F.length(text).alias("chars"),
+        F.monotonically_increasing_id().alias("row"),
+        sha256_hex(text).alias("text_sha256"),
         word_count(F.col("text")).alias("words"),
         F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]")).cast("long").alias("marked"),
         bpe_count(F.col("text"), vocabulary).alias("bpe"),
