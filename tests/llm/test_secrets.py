@@ -1,5 +1,7 @@
 import base64
+import math
 import random
+import re
 import string
 
 from rowsmith.llm import secrets
@@ -97,3 +99,119 @@ def test_key_in_a_path_of_mixed_separators(spark):
     rng = random.Random(23)
     key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
     assert spans(spark, [f"see com/some-path/{key} ok"]) == {0: f"random:18:{18 + len(key)}"}
+
+
+def plain_battery(text):
+    """The random spans of a text in plain Python, from the docstring of the module."""
+    erfc = math.erfc
+    two_sided = lambda z: erfc(abs(z) / math.sqrt(2))
+    upper = lambda z: erfc(z / math.sqrt(2)) / 2
+
+    def root_z(x, degrees):
+        spread = 2 / (9 * degrees)
+        return ((max(x, 1e-9) / degrees) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)
+
+    def alphabet(value):
+        return next((a for _, a in secrets.ENCODINGS if set(value) <= set(a)), None)
+
+    def fit_and_text(value, a):
+        n, k = len(value), len(a)
+        chi = sum(value.count(c) ** 2 for c in a) * k / n - n
+        sizes = [(len(set(a) & set(c)), sum(x in c for x in value)) for c in secrets.CLASSES]
+        class_chi = sum((seen - size * n / k) ** 2 / (size * n / k) for size, seen in sizes if size)
+        used = sum(size > 0 for size, _ in sizes) - (sum(size for size, _ in sizes) == k)
+        x = [a.index(c) - (k - 1) / 2 for c in value]
+        high, turns = sum(v > 0 for v in x), sum((u > 0) != (v > 0) for u, v in zip(x, x[1:]))
+        mean = 2 * high * (n - high) / n + 1
+        var = (mean - 1) * (mean - 2) / (n - 1)
+        runs = two_sided((turns + 1 - mean) / math.sqrt(var)) if var > 0 else 0.0
+        centre = sum(x) / n
+        square = sum(v * v for v in x) - n * centre**2
+        lag = (sum(u * v for u, v in zip(x, x[1:])) - n * centre**2) / square + 1 / n if square > 0 else None
+        serial = two_sided(lag * math.sqrt(n)) if lag is not None else 0.0
+        fit = min(upper(root_z(chi, k - 1)), upper(root_z(class_chi, max(used, 1))), runs, serial)
+        far = n * (max(k * secrets.TEXT_SAME, 2.0) - 1)
+        return fit, 0.0 if k == 16 else 1 - upper((chi - (k - 1 + far)) / math.sqrt(2 * (k - 1) + 4 * far))
+
+    def pair_p(value, k):
+        def cost(x, y):
+            if x.isdigit() and y.isdigit():
+                return secrets.DIGITS_COST
+            if x.isdigit() and y.isalpha() or x.isalpha() and y.isdigit():
+                return secrets.MIXED_COST
+            if x.isdigit() or y.isdigit():
+                return secrets.DIGITS_COST
+            if not x.isalpha() or not y.isalpha():
+                return secrets.SEPARATOR_COST
+            if x.islower() and y.isupper():
+                return secrets.CAPITAL_COST
+            return int(secrets.PAIR_COST[26 * (ord(x.lower()) - 97) + ord(y.lower()) - 97])
+
+        pairs = len(value) - 1
+        usual = secrets.HEX_MEAN if k == 16 else secrets.PAIR_MEAN
+        return upper((sum(map(cost, value, value[1:])) - pairs * usual) / (math.sqrt(pairs) * secrets.PAIR_SPREAD))
+
+    mixed = lambda v: re.search("[0-9]", v) and re.search("[A-Za-z]", v)
+    cands = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text):
+        if mixed(m[0]):
+            cands.append((m.start(), m[0]))
+            if re.search(r"[+/_-]", m[0]):
+                cands += [(m.start() + p.start(), p[0]) for p in re.finditer(r"[A-Za-z0-9]{20,}", m[0]) if mixed(p[0])]
+    left = []
+    for start, value in cands:
+        a = alphabet(value)
+        if a is not None:
+            fit, prose = fit_and_text(value, a)
+            if fit >= secrets.REJECT:
+                weight = min(1.0, len(value) / secrets.FULL_CHARS)
+                left.append((pair_p(value, len(a)) / weight, prose / weight, start, start + len(value)))
+    left.sort()
+    limit = max([q for i, (q, *_) in enumerate(left) if q <= (i + 1) * secrets.FALSE_SHARE / len(left)], default=-1)
+    passed = [(s, e) for q, p, s, e in left if q <= limit and p <= secrets.FALSE_SHARE]
+    return [x for x in sorted(passed) if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in passed)]
+
+
+LETTERS = string.ascii_letters + string.digits
+
+
+def drawn_keys(rng):
+    """Kinds of keys and ordinary tokens with the least share that must, or the largest that may, be found."""
+    pick = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    return {
+        "base62 24": (lambda: pick(LETTERS, 24), 0.9, 1),
+        "base64 64": (lambda: base64.b64encode(rng.randbytes(48)).decode(), 0.95, 1),
+        "url64 43": (lambda: base64.urlsafe_b64encode(rng.randbytes(32)).decode().rstrip("="), 0.95, 1),
+        "HEX 40": (lambda: pick("0123456789ABCDEF", 40), 0.95, 1),
+        "hex 24": (lambda: pick("0123456789abcdef", 24), 0.9, 1),
+        "base32 32": (lambda: pick(string.ascii_uppercase + "234567", 32), 0.8, 1),
+        "three parts": (lambda: f"xoxb-{pick(string.digits, 12)}-{pick(string.digits, 13)}-{pick(LETTERS, 24)}", 0.9, 1),
+        "prefix": (lambda: "sk_live_" + pick(LETTERS, 24), 0.9, 1),
+        "uuid": (lambda: "-".join(pick("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)), 0, 0.02),
+        "number": (lambda: pick(string.digits, 22) + "a", 0, 0.02),
+        "words": (lambda: ordinary(rng), 0, 0.05),
+    }
+
+
+def test_random_spans_match_plain_python_and_recall_by_kind(spark):
+    rng = random.Random(41)
+    texts, kinds = [], []
+    for kind, (make, _, _) in drawn_keys(rng).items():
+        for _ in range(60):
+            texts.append(f"é see {make()} and {ordinary(rng)} ok")
+            kinds.append(kind)
+    got = spans(spark, texts)
+    for i, text in enumerate(texts):
+        mine = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("random")]
+        if not any(b in got[i] for b in ("hex", "assign", "access")):
+            assert mine == plain_battery(text), (kinds[i], text)
+    for kind, (_, least, most) in drawn_keys(rng).items():
+        share = sum(got[i] != "" for i in range(len(texts)) if kinds[i] == kind) / 60
+        assert least <= share <= max(most, 0.05), (kind, share)
+
+
+def test_a_very_long_text_with_many_candidates(spark):
+    rng = random.Random(43)
+    tokens = ["".join(rng.choice(LETTERS) for _ in range(24)) for _ in range(1_500)]
+    text = " ".join(tokens)
+    assert len(spans(spark, [text])[0].split(",")) == len(plain_battery(text)) > 1_350
