@@ -8,9 +8,11 @@ partition, and the whole fingerprints are compared there.
 
 Scale. Exact copies collapse to one fingerprint before the search. A pair counts only under the
 first variant that it shares, and each task keeps a spanning forest of its links, so a dense group
-gives about as many links as it has members. A segment value with more than a thousandth of all
-fingerprints is dealt into cells of two blocks each; there are at most 1,000 such values a
-segment, so their list may be broadcast. Links are joined into components by contracting the graph
+gives about as many links as it has members. Variants of a segment value with more than ``HOT_ROWS``
+fingerprints, however many there are, are cut into cells: the other bits fall into one piece more than
+bits may differ, so a linked pair has an equal piece, and each row goes to five cells, each about a
+three-hundredth of the value. Only a cell that is still too large is dealt into pairs of blocks, in which each row is
+copied once a block. Lists of such keys are broadcast only if they are short. Links are joined into components by contracting the graph
 on written tables. Neither links nor fingerprints go through the driver.
 
 Defined cases. Null, empty and blank texts have fingerprint zero and are linked like others. A row
@@ -28,13 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from rowsmith.llm.common import HOT_PARTS, HOT_ROWS, hidden, join_split, materialise, shuffle_width, text_batches
+from rowsmith.llm.common import HOT_ROWS, hidden, join_split, materialise, shuffle_width, text_batches
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 HASH_SEED = 42
 BITS = 64
-BLOCK_ROWS = 1_000  # members of a hot variant in one block, about
+BLOCK_ROWS = 1_000  # members of a crowded cell in one block, about
+SMALL_ROWS = 200_000  # keys that are broadcast at most
 TILE = 1_024
 
 
@@ -95,6 +98,26 @@ class Variants:
                 out.append(self.key(int(self.first[s]) + p, value.bitwiseAND(F.lit(~(1 << p)))))
         return F.array(*out)
 
+    def cells(self, fp: Column, key: Column) -> Column:
+        """Array of (piece number, piece) of the bits outside the segment of ``key``.
+
+        There is a piece more than bits may differ, so a linked pair of the key has an equal piece.
+        """
+        out = None
+        for s, (shift, width) in enumerate(self.parts):
+            upto = shift + width
+            rest = F.shiftrightunsigned(fp, upto).bitwiseOR(F.shiftleft(fp, BITS - upto)) if upto < BITS else fp
+            edges = [round(i * (BITS - width) / (self.max_bits + 1)) for i in range(self.max_bits + 2)]
+            pieces = F.array(
+                *[
+                    F.shiftrightunsigned(rest, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).bitwiseOR(F.lit(i << 48))
+                    for i, (a, b) in enumerate(zip(edges, edges[1:]))
+                ]
+            )
+            here = F.shiftright(key, 48) < F.lit(int(self.first[s + 1]))
+            out = F.when(here, pieces) if out is None else out.when(here, pieces)
+        return out
+
     @staticmethod
     def key(variant: int, value: Column) -> Column:
         return value.bitwiseOR(F.lit(variant << 48))
@@ -155,7 +178,10 @@ def _links_of(groups: tuple[np.ndarray, ...], rules: Variants, forest: Forest) -
             near = near[rules.first_shared(diff[near]) == variant[left[near]]]
             forest.add(fp[left[near]], fp[right[near]])
 
-    plain = (cell < 0)[begin] & (length <= 64)
+    # Sides are in order, so the last tells whether all pairs of a group count. Should two cells have one
+    # number, they are compared as one group, which loses nothing.
+    whole = side[begin + length - 1] == 2
+    plain = whole & (length <= 64)
     rows = np.flatnonzero(plain[group])
     lag = 1
     while len(rows):
@@ -165,7 +191,7 @@ def _links_of(groups: tuple[np.ndarray, ...], rules: Variants, forest: Forest) -
         lag += 1
     for g in np.flatnonzero(~plain):
         rows = np.arange(begin[g], begin[g] + length[g])
-        ones, twos = (rows, rows) if cell[begin[g]] < 0 or (side[rows] == 2).all() else (rows[side[rows] == 0], rows[side[rows] == 1])
+        ones, twos = (rows, rows) if whole[g] else (rows[side[rows] == 0], rows[side[rows] == 1])
         for i in range(0, len(ones), TILE):
             for j in range(i if ones is twos else 0, len(twos), TILE):
                 a, b = ones[i : i + TILE], twos[j : j + TILE]
@@ -174,6 +200,11 @@ def _links_of(groups: tuple[np.ndarray, ...], rules: Variants, forest: Forest) -
                 check(a[x], b[y])
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """A written table of keys, broadcast only if its rows are few; else it is joined by a shuffle."""
+    return F.broadcast(keys) if keys.count() <= SMALL_ROWS else keys.hint("merge")
+
+
 def links(classes: DataFrame, fp: str, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints that together join all pairs within ``max_bits`` bits."""
     rules = Variants(max_bits)
@@ -188,8 +219,7 @@ def links(classes: DataFrame, fp: str, max_bits: int = MAX_BITS) -> DataFrame:
             )
         ).alias("value")
     )
-    limit = max(HOT_ROWS, only.count() // HOT_PARTS)
-    hot_values = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit), "hot")
+    hot_values = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_ROWS), "hot")
     rows = only.select("fp", F.explode(rules.keys(F.col("fp"))).alias("key"))
     cold = rows.withColumn("cell", F.lit(-1).cast("long")).withColumn("side", F.lit(2))
     if hot_values.isEmpty():
@@ -197,7 +227,6 @@ def links(classes: DataFrame, fp: str, max_bits: int = MAX_BITS) -> DataFrame:
     else:
         hot_keys = [
             hot_values.filter(F.shiftright("value", 48) == s).select(
-                F.col("n"),
                 F.explode(
                     F.array(
                         *[
@@ -212,22 +241,28 @@ def links(classes: DataFrame, fp: str, max_bits: int = MAX_BITS) -> DataFrame:
         every = hot_keys[0]
         for more in hot_keys[1:]:
             every = every.unionByName(more)
-        # At most HOT_PARTS values a segment and `width` variants of each.
-        hot = F.broadcast(
-            every.groupBy("key").agg((F.ceil((F.sum("n") + limit) / BLOCK_ROWS) + 1).cast("long").alias("blocks"))
+        hot = _small(materialise(every.distinct(), "hot_keys"))
+        dense = rows.join(hot, "key").select("fp", "key", F.explode(rules.cells(F.col("fp"), F.col("key"))).alias("cell"))
+        dense = dense.withColumn("side", F.lit(2))
+        crowded = materialise(
+            dense.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_ROWS), "crowded"
         )
-        dealt = (
-            rows.join(hot, "key")
-            .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .select(
-                "fp",
-                "key",
-                (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("cell"),
-                F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"),
+        if not crowded.isEmpty():
+            blocks = _small(crowded.select("key", "cell", (F.ceil(F.col("n") / BLOCK_ROWS) + 1).cast("long").alias("blocks")))
+            dealt = (
+                dense.drop("side")
+                .join(blocks, ["key", "cell"])
+                .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+                .select(
+                    "fp",
+                    "key",
+                    F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+                    F.when(F.col("block") == F.col("other"), 2).otherwise((F.col("block") > F.col("other")).cast("int")).alias("side"),
+                )
             )
-        )
-        placed = cold.join(hot, "key", "left_anti").unionByName(dealt)
+            dense = dense.join(_small(crowded.select("key", "cell")), ["key", "cell"], "left_anti").unionByName(dealt)
+        placed = cold.join(hot, "key", "left_anti").unionByName(dense)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()

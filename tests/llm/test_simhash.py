@@ -47,10 +47,11 @@ def chains(rng, n):
     return sorted(set(values))
 
 
-@pytest.mark.parametrize("hot_rows,block", [(2_000, 1_000), (5, 7)])
+@pytest.mark.parametrize("hot_rows,block,small", [(2_000, 1_000, 0), (5, 7, 200_000), (20, 7, 0)])
 @pytest.mark.parametrize("max_bits", [4, 3, 1])
-def test_links_join_all_near_pairs(spark, monkeypatch, hot_rows, block, max_bits):
+def test_links_join_all_near_pairs(spark, monkeypatch, hot_rows, block, small, max_bits):
     monkeypatch.setattr(simhash, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(simhash, "SMALL_ROWS", small)
     monkeypatch.setattr(simhash, "BLOCK_ROWS", block)
     values = np.array(chains(random.Random(max_bits), 200), np.uint64)
     signed = [int(x) for x in values.view(np.int64)]
