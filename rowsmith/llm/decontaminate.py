@@ -5,9 +5,10 @@ benchmark passage and most looks into the shift table skip nine words. Where the
 hash of the block picks the bucket of test windows that end in it, and each window of the
 bucket is compared word by word.
 
-The benchmark is read in blocks of bounded size, each collected and broadcast on its own;
-every document is searched for the windows of every block in one pass without a shuffle, and
-the hits of the blocks are merged per row.
+The benchmark is read in blocks of bounded size, each collected and broadcast on its own. A pass
+searches every document for the windows of up to ``PASS_BLOCKS`` blocks, without a shuffle, and
+merges the hits per row. Between passes the rows are written with their hits, and the blocks
+of the pass before are let go, so neither the driver nor a worker ever holds the whole benchmark.
 
 Defined cases. Null and empty texts have no words and no hits; an item without words has no
 window; a repeated or null item_id counts as one item (null sorts as the empty string, and is
@@ -20,12 +21,14 @@ from collections import defaultdict
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowsmith.llm.common import hidden, sha256_hex, text_batches
+from rowsmith.llm.common import hidden, materialise, sha256_hex, text_batches
 
 WINDOW_WORDS = 10
 BLOCK_CHARS = 16_000_000  # benchmark text that is broadcast at once
+PASS_BLOCKS = 4  # blocks that a pass holds
 
 # Bytes of words stay (A-Z as a-z), all others become spaces: digits, letters, all beyond ASCII.
 _WORD_BYTES = bytes(
@@ -111,8 +114,7 @@ class Benchmark:
 FOUND = "n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
 
 
-def _searcher(items: list[tuple[str, str | None]], df: DataFrame, window_words: int):
-    sent = df.sparkSession.sparkContext.broadcast(items)
+def _searcher(sent: Broadcast, window_words: int):
     built: list[Benchmark] = []
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
@@ -163,26 +165,39 @@ def mark_contaminated(
     tests = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     total = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_CHARS))
-    parts = []
+    words, hits, which = hidden("words"), hidden("spans"), hidden("items")
     out = docs
-    for block in range(blocks):
-        rows = tests.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        search = _searcher([(r["item"] or "", r["text"]) for r in rows], docs, window_words)
-        part = hidden("block")
-        out = out.withColumn(part, search(F.col(text_col)))
-        parts.append(part)
-    spans = F.flatten(F.array(*[F.col(p)["spans"] for p in parts]))
-    items = F.array_distinct(F.flatten(F.array(*[F.col(p)["items"] for p in parts])))
-    n_hit = _hit_words(spans)
+    for first in range(0, blocks, PASS_BLOCKS):
+        parts, held = [], []
+        for block in range(first, min(first + PASS_BLOCKS, blocks)):
+            rows = tests.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
+            held.append(docs.sparkSession.sparkContext.broadcast([(r["item"] or "", r["text"]) for r in rows]))
+            part = hidden("block")
+            out = out.withColumn(part, _searcher(held[-1], window_words)(F.col(text_col)))
+            parts.append(part)
+        before = [F.struct(F.col(hits).alias("spans"), F.col(which).alias("items"))] if first else []
+        found = [*before, *map(F.col, parts)]
+        out = out.withColumns(
+            {
+                words: F.col(parts[0])["n_words"],
+                hits: F.flatten(F.array(*[f["spans"] for f in found])),
+                which: F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))),
+            }
+        ).drop(*parts)
+        if first + PASS_BLOCKS < blocks:
+            out = materialise(out, "searched")
+            for sent in held:
+                sent.destroy()
+    n_hit = _hit_words(F.col(hits))
     result = F.struct(
-        F.col(parts[0])["n_words"].alias("n_words"),
+        F.col(words).alias("n_words"),
         n_hit.alias("n_hit"),
-        spans.alias("spans"),
-        F.array_sort(F.filter(items, lambda x: x != "")).alias("items"),
-        F.size(items).cast("long").alias("n_items"),
+        F.col(hits).alias("spans"),
+        F.array_sort(F.filter(which, lambda x: x != "")).alias("items"),
+        F.size(which).cast("long").alias("n_items"),
         (n_hit > 0).alias("contaminated"),
     )
-    return out.withColumn(name, result).drop(*parts)
+    return out.withColumn(name, result).drop(words, hits, which)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,6 +27,11 @@ def test_contamination_matches_brute_force(spark, monkeypatch):
     want = brute.contamination(rows, [(r["item_id"], r["text"]) for r in items.collect()])
     same(decontaminate.contamination(docs, items).collect(), want)
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 60)  # several blocks, merged per row
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 100)
+    same(decontaminate.contamination(docs, items).collect(), want)
+    total = sum(len(r["text"] or "") for r in items.collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", -(-total // 5))  # five blocks in passes of two
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 2)
     same(decontaminate.contamination(docs, items).collect(), want)
 
 
