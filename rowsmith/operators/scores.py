@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from functools import reduce
-from itertools import groupby
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -22,16 +21,21 @@ def run_pending(
     per_append: int = 16,
     hold_seconds: float = 30.0,
     side_by_side: int = 1,
+    longest: Sequence[str] = (),
 ) -> DataFrame:
     """Run every planned experiment that the table at ``path`` lacks, so an interrupted series goes on
     where it stopped.
 
     ``run`` gets (sampling, feature set, model) and returns one score row. Up to ``per_append`` results that
     came within ``hold_seconds`` are stored by one append; when an experiment fails, those before it are stored first.
-    Up to ``side_by_side`` experiments of one sampling and feature set run at the same time. The plan is a list of experiments, each of which is a series of Spark jobs; only its names reach the driver.
+    Up to ``side_by_side`` experiments run at the same time. They start in the order of their sampling and feature set, the models
+    named in ``longest`` before the others; the next sampling and feature set does not wait for the last model of the one before.
+    The plan is a list of experiments, each of which is a series of Spark jobs; only its names reach the driver.
     """
     spark = plan.sparkSession
     todo = pending(plan, read_score_table(spark, path), SCORE_KEYS).orderBy(*SCORE_KEYS).collect()
+    place = {model: i for i, model in enumerate(longest)}
+    todo.sort(key=lambda item: (item[SCORE_KEYS[0]], item[SCORE_KEYS[1]], place.get(item[SCORE_KEYS[2]], len(place))))
     held: list[DataFrame] = []
     since = time.monotonic()
 
@@ -43,12 +47,11 @@ def run_pending(
     try:
         with ThreadPool(side_by_side) as pool:
             start = inheritable_thread_target(spark)(lambda item: run(*[item[k] for k in SCORE_KEYS]))
-            for _, group in groupby(todo, key=lambda item: tuple(item[k] for k in SCORE_KEYS[:2])):
-                for done in pool.imap(start, group) if side_by_side > 1 else map(start, group):
-                    held.append(done)
-                    if len(held) >= per_append or time.monotonic() - since >= hold_seconds:
-                        flush()
-                        since = time.monotonic()
+            for done in pool.imap_unordered(start, todo) if side_by_side > 1 else map(start, todo):
+                held.append(done)
+                if len(held) >= per_append or time.monotonic() - since >= hold_seconds:
+                    flush()
+                    since = time.monotonic()
     finally:
         flush()
     return read_score_table(spark, path)

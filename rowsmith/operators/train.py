@@ -11,7 +11,9 @@ import json
 import math
 import threading
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -41,7 +43,9 @@ from rowsmith.operators.scores import run_pending
 from rowsmith.sources.score_store import SCORE_KEYS, SCORE_SCHEMA, TRIAL_SCHEMA, append_trials, read_trials
 
 TASK_ROWS = 50_000  # rows of a training task
+SIDE_BY_SIDE = 14  # experiments at the same time: fits are long series of short jobs, each of which leaves most cores idle
 MODEL_KEYS = ("lr", "dt", "rf", "gbt", "nb", "svm", "mlp")
+LONGEST = ("gbt", "mlp", "svm", "lr", "rf", "dt", "nb")  # by the number of jobs of a fit
 
 
 def mlp_layers(features: int, classes: int = 2) -> list[list[int]]:
@@ -361,33 +365,37 @@ def experiment(
     tuned = values or TUNED_VALUES
     size = df.count()
 
-    # The rows of one sampling and feature set are prepared once for all its models.
-    ready: dict[str, object] = {}
-
-    def release() -> None:
-        for frame in ready.get("frames", ()):
-            frame.unpersist()
-        ready.clear()
-
+    # The rows of one sampling and feature set are prepared once for all its models, and given free when none of them runs
+    # and a later one has begun. Experiments start in this order, so rows are only prepared again if two starts overtake each other.
+    ready: dict[tuple[str, str], list[DataFrame]] = {}
+    running: Counter[tuple[str, str]] = Counter()
     turn = threading.Lock()
 
-    def prepare(sampling: str, feature_set: str) -> tuple[DataFrame, DataFrame]:
+    def release(but: tuple[str, str] | None = None) -> None:
+        for name in [n for n in ready if n != but and not running[n]]:
+            for frame in ready.pop(name):
+                frame.unpersist()
+
+    @contextmanager
+    def prepared(sampling: str, feature_set: str) -> Iterator[list[DataFrame]]:
+        name = (sampling, feature_set)
         with turn:
-            return prepared(sampling, feature_set)
-
-    def prepared(sampling: str, feature_set: str) -> tuple[DataFrame, DataFrame]:
-        if ready.get("name") != (sampling, feature_set):
-            release()
-            # Fits are long series of short jobs: no more tasks than the rows are worth.
-            frames = [
-                assemble(part, feature_sets[feature_set])
-                .select(key, "features", label)
-                .coalesce(1 + size * (2 if sampling == "up" else 1) // TASK_ROWS)
-                .persist(StorageLevel.MEMORY_AND_DISK)
-                for part in split_and_resample(df, key, label, sampling, resample_first)
-            ]
-            ready.update(name=(sampling, feature_set), frames=frames)
-        return tuple(ready["frames"])
+            if name not in ready:
+                # Fits are long series of short jobs: no more tasks than the rows are worth.
+                ready[name] = [
+                    assemble(part, feature_sets[feature_set])
+                    .select(key, "features", label)
+                    .coalesce(1 + size * (2 if sampling == "up" else 1) // TASK_ROWS)
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                    for part in split_and_resample(df, key, label, sampling, resample_first)
+                ]
+            running[name] += 1
+        try:
+            yield ready[name]
+        finally:
+            with turn:
+                running[name] -= 1
+                release(but=next(reversed(ready)))
 
     def rounds_of(experiment_key: tuple[str, str, str], grid: Sequence[dict], features: Sequence[str]) -> dict:
         """What :func:`halving_search` needs to go on after a break and to be gone on with."""
@@ -404,8 +412,11 @@ def experiment(
         return {"known": known, "store": store}
 
     def run(sampling: str, feature_set: str, model_key: str) -> DataFrame:
+        with prepared(sampling, feature_set) as (train, test):
+            return fitted(sampling, feature_set, model_key, train, test)
+
+    def fitted(sampling: str, feature_set: str, model_key: str, train: DataFrame, test: DataFrame) -> DataFrame:
         features = list(feature_sets[feature_set])
-        train, test = prepare(sampling, feature_set)
         model = make_model(model_key, label, len(features))
         started = time.monotonic()
         best: dict[str, object] = {}
@@ -430,6 +441,7 @@ def experiment(
 
     try:
         plan = experiment_plan(spark, samplings, list(feature_sets), models)
-        return run_pending(plan, path, run, side_by_side=min(len(models), _threads(df, parallelism)))
+        return run_pending(plan, path, run, side_by_side=parallelism or SIDE_BY_SIDE, longest=LONGEST)
     finally:
+        running.clear()
         release()

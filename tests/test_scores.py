@@ -1,6 +1,7 @@
 import json
 import os
 import re
+import threading
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators.metrics import audit_scores
 from rowsmith.operators.scores import best_model, compare_models, compare_samplings, run_pending
+from rowsmith.operators.train import experiment_plan
 from rowsmith.session import scratch_path, shared_dir
 from rowsmith.sources import score_store
 from rowsmith.sources.score_store import (
@@ -224,3 +226,27 @@ def test_broken_documents_are_named(spark, tmp_path):
     with pytest.raises(ValueError, match="down.json"):
         read_scores(spark, path, mode="raise")
     assert broken_documents(spark, f"{path}/none").collect() == []
+
+
+def test_experiments_of_different_samplings_run_side_by_side(spark):
+    """Each waits for one of another sampling; one group after the other would never meet."""
+    plan = experiment_plan(spark, ["s0", "s1"], ["f"], ["a", "b"])
+    meeting, begun = threading.Barrier(4), []
+
+    def run(sampling, feature_set, model):
+        begun.append(model)
+        meeting.wait(60)
+        return spark.createDataFrame([row(sampling, feature_set, model)], SCORE_SCHEMA)
+
+    path = scratch_path(spark, "table")
+    assert run_pending(plan, path, run, side_by_side=4).count() == 4 and sorted(begun) == ["a", "a", "b", "b"]
+    # The models that take longest start first.
+    order = []
+    plan = experiment_plan(spark, ["s0", "s1"], ["f"], ["a", "b", "c"])
+
+    def note(sampling, feature_set, model):
+        order.append((sampling, model))
+        return spark.createDataFrame([row(sampling, feature_set, model)], SCORE_SCHEMA)
+
+    run_pending(plan, scratch_path(spark, "table"), note, longest=["c", "b"])
+    assert order == [(s, m) for s in ("s0", "s1") for m in "cba"]

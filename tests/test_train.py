@@ -158,3 +158,20 @@ def test_experiment_is_stored_and_not_repeated(spark, data):
     assert rows["one"]["best_params"]["maxDepth"] in ("1", "2") and rows["one"]["seconds"] > 0
     again = {r["feature_set"]: r["seconds"] for r in experiment(data, "k", "label", **arguments).collect()}
     assert again == {name: r["seconds"] for name, r in rows.items()}
+
+
+def test_rows_of_an_experiment_are_given_free(spark, data):
+    """Samplings that run at the same time score what they score alone, and nothing stays in memory."""
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    arguments = dict(feature_sets={"both": FEATURES}, models=["nb", "dt"], search=False)
+    names = ("accuracy", "precision", "recall", "f1")
+    found = {
+        (r["sampling"], r["model"]): [r[n] for n in names]
+        for r in experiment(data, "k", "label", path=scratch_path(spark, "table"), **arguments).collect()
+    }
+    assert len(found) == 6
+    for sampling in ("ub", "down", "up"):
+        alone = experiment(data, "k", "label", samplings=[sampling], path=scratch_path(spark, "table"), parallelism=1, **arguments)
+        for r in alone.collect():
+            assert found[sampling, r["model"]] == [r[n] for n in names]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
