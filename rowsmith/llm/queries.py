@@ -88,8 +88,9 @@ def op8_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
-    """Licence of every document. A document is the only file of its directory <source>/<doc_id>, so it speaks for no other one."""
-    path = F.concat_ws("/", F.lit(""), F.coalesce("source", F.lit("_")), F.col("doc_id").cast("string"), F.lit("text"))
+    """Licence of every document. A document is the file <source>/<doc_id>: a whole licence speaks for the documents of its source."""
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "doc_id")]
+    path = F.concat_ws("/", F.lit(""), *names)
     return licenses.licences(table(spark, folder, "documents").withColumn("path", path), keep=("doc_id",))
 
 

@@ -461,3 +461,21 @@ def test_counts_of_awkward_rows(spark):
     for r in token_counts.count_corpus(cases.documents(spark), VOCABULARY).collect():
         assert r["bpe"] is not None and r["words"] is not None and r["marked"] >= r["words"] * 0
     assert token_counts.count_corpus(cases.nothing(spark), VOCABULARY).collect() == []
+
+
+def test_documents_inherit_the_licence_of_their_source(spark, tmp_path):
+    from rowsmith.llm.queries import op9_licences
+
+    whole = {k: v[0] for k, v in licenses.whole_texts().items()}
+    rows = [
+        (1, "a", whole["MIT"]), (2, "a", "plain words"), (3, "a", None), (4, "a", "Licensed under the Apache License, Version 2.0."),
+        (5, "b", "plain words"), (6, "b", "Released under the MIT License."), (7, None, "plain words"), (None, "a", "plain words"),
+        (8, "c", whole["MIT"]), (9, "c", whole["BSD-3-Clause"]), (10, "c", "plain words"), (2, "a", "plain words"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(((r["doc_id"] or 0), r["licence"], r["origin"]) for r in op9_licences(spark, str(tmp_path)).collect())
+    assert got == [
+        (0, "MIT", "inherited"), (1, "MIT", "own"), (2, "MIT", "inherited"), (2, "MIT", "inherited"), (3, "MIT", "inherited"),
+        (4, "Apache-2.0", "own"), (5, None, "none"), (6, "MIT", "own"), (7, None, "none"),
+        (8, "MIT", "own"), (9, "BSD-3-Clause", "own"), (10, None, "disputed"),
+    ]
