@@ -281,10 +281,10 @@ class FragmentCache:
         known = self.known
         firsts = list({parts[0] for parts in group})
         first = dict(zip(firsts, self.encode(firsts)))
-        need = list(set().union(*[parts[1:] for parts in group]) - known.keys())
-        made = dict(zip(need, self.encode([" " + p for p in need])))
+        # "- known.keys()" would walk through the whole table for every group.
+        need = list(set().union(*[parts[1:] for parts in group]).difference(known))
+        known.update(zip(need, self.encode([" " + p for p in need])))
         long = [p for p in need if len(p) > TABLE_CHARS]
-        known.update(made)
         out = [b"".join([first[parts[0]], *map(known.__getitem__, parts[1:])]) for parts in group]
         for p in long:
             del known[p]

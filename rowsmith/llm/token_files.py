@@ -22,16 +22,18 @@ repeated ids stay and follow each other in the order of their tokens' bytes. Ext
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowsmith.llm.bpe import FragmentCache
+from rowsmith.llm.bpe import FragmentCache, byte_alphabet
 from rowsmith.llm.common import shuffle_width, text_batches
 
 END_ID = 2
@@ -108,50 +110,88 @@ def read_ids(payload: bytes, first: int = 0, stop: int | None = None) -> np.ndar
     return np.concatenate(got)[first - begin : None if stop is None else stop - begin]
 
 
+# Characters whose pieces need no look at their neighbours: letters of blocks without gaps, digits, ASCII signs. The apostrophe
+# (contractions) and "<" (special tokens) are left out.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481"
+_SIGNS = "!-&(-/:;=-@\\[-`{-~"
+_RUN = f"[{_LETTERS}0-9{_SIGNS}]+"
+PLAIN = re.compile(f" {_RUN}(?:\n{_RUN})*\n?")
+PIECE = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\n")
+
+
 class LibraryEncoder:
     """Ids by the tokenizers library for fragments cut before a space.
 
-    Plain fragments go to the library as one text, each fragment behind its space; as texts can be
-    cut there, the tokens that start with a space tell where each fragment's ids begin.
+    Most of the library's time goes into cutting texts into pieces and writing these as byte characters, not into merging. Plain
+    fragments, whose pieces are runs of letters, digits or signs, are therefore cut and written a batch at a time, and go to
+    the library's model as pieces, between spaces. The tokens that start with a space tell where each fragment's ids begin.
+    All other fragments, and all if the file is not of the kind whose pieces are known here, go through the whole library, as one
+    text where they start at their only space.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         size = self.library.get_vocab_size()
-        decoded = [self.library.id_to_token(i) or "" for i in range(size)]
-        space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0] if self.library.pre_tokenizer else " "
-        self.spaced = np.array([t.startswith(space) for t in decoded])
-
+        tokens = [self.library.id_to_token(i) or "" for i in range(size)]
+        letters = {byte: char for char, byte in byte_alphabet().items()}
+        self.letters = {byte: ord(char) for byte, char in letters.items()} | {ord("\t"): " "}
+        self.spaced = np.array([t.startswith(letters[ord(" ")]) for t in tokens])
+        self.pieces = Tokenizer(self.library.model)
+        self.pieces.pre_tokenizer = WhitespaceSplit()
+        doc = json.loads(self.library.to_str())
+        cut = doc["pre_tokenizer"] or {}
+        self.known_kind = (
+            doc["normalizer"] is None
+            and doc["model"]["type"] == "BPE"
+            and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+            and not any(re.fullmatch(f"(?:{_RUN}|\\s)*", t["content"]) for t in doc["added_tokens"])
+        )
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def fragments(self, found: list[str]) -> list[bytes]:
-        plain = [i for i, f in enumerate(found) if f[:1] == " " and len(f) > 1 and " " not in f[1:] and not f[1].isspace() and not f[-1].isspace()]
-        out: list[bytes] = [b""] * len(found)
-        chosen = set(plain)
-        other = [i for i in range(len(found)) if i not in chosen]
-        for i, ids in zip(other, self._encode([found[i] for i in other])):
-            out[i] = ids.tobytes()
+    def _encode_plain(self, text: str) -> np.ndarray:
+        """Ids of plain fragments behind each other."""
+        written = "\t".join(PIECE.findall(text)).encode("utf-8").decode("latin-1").translate(self.letters)
+        return np.array(self.pieces.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
+
+    def _together(self, found: list[str], which: list[int], encode: Callable[[str], np.ndarray], out: list[bytes]) -> None:
+        """Encode fragments that start with their only cut as one text, and cut its ids at the tokens that start with a space."""
         at = 0
-        while at < len(plain):
+        while at < len(which):
             size, upto = 0, at
-            while upto < len(plain) and size < JOIN_CHARS:
-                size += len(found[plain[upto]])
+            while upto < len(which) and size < JOIN_CHARS:
+                size += len(found[which[upto]])
                 upto += 1
-            (ids,) = self._encode(["".join([found[i] for i in plain[at:upto]])])
+            ids = encode("".join([found[i] for i in which[at:upto]]))
             cuts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
             if len(cuts) != upto - at + 1:
                 raise RuntimeError("a fragment was not cut at its space")
             data = ids.tobytes()
-            for i, a, b in zip(plain[at:upto], cuts[:-1].tolist(), cuts[1:].tolist()):
+            for i, a, b in zip(which[at:upto], cuts[:-1].tolist(), cuts[1:].tolist()):
                 out[i] = data[a:b]
             at = upto
+
+    def fragments(self, found: list[str]) -> list[bytes]:
+        plain, joined, other = [], [], []
+        for i, f in enumerate(found):
+            if self.known_kind and PLAIN.fullmatch(f):
+                plain.append(i)
+            elif f[:1] == " " and len(f) > 1 and " " not in f[1:] and not f[1].isspace() and not f[-1].isspace():
+                joined.append(i)
+            else:
+                other.append(i)
+        out: list[bytes] = [b""] * len(found)
+        for i, ids in zip(other, self._encode([found[i] for i in other])):
+            out[i] = ids.tobytes()
+        self._together(found, plain, self._encode_plain, out)
+        self._together(found, joined, lambda text: self._encode([text])[0], out)
         return out
 
 
