@@ -22,6 +22,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -40,6 +41,7 @@ from rowsmith.operators.columns import assemble
 from rowsmith.operators.metrics import all_metrics, auc_roc
 from rowsmith.operators.resample import kfold, no_sampling, oversample, train_test_split, undersample
 from rowsmith.operators.scores import run_pending
+from rowsmith.session import written
 from rowsmith.sources.score_store import SCORE_KEYS, SCORE_SCHEMA, TRIAL_SCHEMA, append_trials, read_trials
 
 TASK_ROWS = 50_000  # rows of a training task
@@ -148,15 +150,43 @@ def _all_scores(models: Sequence[Model], rows: DataFrame, label: str, keep: Sequ
     return wide.select(*keep, label, F.inline(F.array(*entries)))
 
 
+def _longest_series(model: Estimator, grid: Sequence[dict]) -> list[int]:
+    """For each point the one whose fit has its trees too: boosting adds tree after tree, so of points that differ in the
+    number of trees alone the longest series starts with all the others. Early stopping makes them differ; other
+    models have no such points."""
+    own = list(range(len(grid)))
+    if not isinstance(model, GBTClassifier) or model.isDefined(model.validationIndicatorCol):
+        return own
+    if any(model.validationIndicatorCol in point for point in grid):
+        return own
+    trees = [point.get(model.maxIter, model.getMaxIter()) for point in grid]
+    rest = [{p: v for p, v in point.items() if p != model.maxIter} for point in grid]
+    return [max((q for q in own if rest[q] == rest[p]), key=lambda q: (trees[q], -q)) for p in own]
+
+
+def first_trees(fitted: GBTClassificationModel, trees: int) -> GBTClassificationModel:
+    """The model of the first trees of a boosted one: what a fit of so many iterations gives. It is meant for scores;
+    it does not know its number of features, on which importances hang."""
+    gateway = SparkSession.active().sparkContext._gateway
+    models, inner = gateway.jvm.org.apache.spark.ml, fitted._java_obj
+    kept = gateway.new_array(models.regression.DecisionTreeRegressionModel, trees)
+    weights = gateway.new_array(gateway.jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(inner.trees()[:trees], fitted.treeWeights[:trees])):
+        kept[i], weights[i] = tree, weight
+    java = models.classification.GBTClassificationModel(inner.uid(), kept, weights)
+    return fitted._copyValues(GBTClassificationModel(java), {fitted.maxIter: trees})
+
+
 def cross_validate(
     model: Estimator, grid: Sequence[dict], rows: DataFrame, label: str, folds: int, parallelism: int | None = None
 ) -> DataFrame:
     """Rows (fold, point, auc, positives, negatives): the exact AUC of every grid point on every fold.
 
     ``rows`` has a column ``fold``. The fits run side by side; the scores of all folds and points then go through one
-    grouped aggregate. A fold of one class gives null.
+    grouped aggregate. A fold of one class gives null. Boosted trees are fitted once for all numbers of trees.
     """
-    jobs = [(f, p) for f in range(folds) for p in range(len(grid))]
+    source = _longest_series(model, grid)
+    jobs = [(f, p) for f in range(folds) for p in sorted(set(source))]
     parts = [rows.filter(F.col("fold") != f) for f in range(folds)]
 
     def fit(job: tuple[int, int]) -> Model:
@@ -164,6 +194,10 @@ def cross_validate(
 
     with ThreadPool(min(_threads(rows, parallelism), len(jobs))) as pool:
         fitted = dict(zip(jobs, pool.map(inheritable_thread_target(rows.sparkSession)(fit), jobs)))
+    for f in range(folds):
+        for p, q in enumerate(source):
+            if p != q:
+                fitted[f, p] = first_trees(fitted[f, q], grid[p].get(model.maxIter, model.getMaxIter()))
     held = [
         _all_scores([fitted[f, p] for p in range(len(grid))], rows.filter(F.col("fold") == f), label, ["fold"])
         for f in range(folds)
@@ -381,14 +415,14 @@ def experiment(
         name = (sampling, feature_set)
         with turn:
             if name not in ready:
-                # Fits are long series of short jobs: no more tasks than the rows are worth.
-                ready[name] = [
-                    assemble(part, feature_sets[feature_set])
-                    .select(key, "features", label)
-                    .coalesce(1 + size * (2 if sampling == "up" else 1) // TASK_ROWS)
-                    .persist(StorageLevel.MEMORY_AND_DISK)
+                # Fits are long series of short jobs: no more tasks than the rows are worth. Every job and task carries the
+                # whole way from the source to its rows, so they are written, and kept once: by the search if there is one.
+                tasks = 1 + size * (2 if sampling == "up" else 1) // TASK_ROWS
+                parts = [
+                    written(assemble(part, feature_sets[feature_set]).select(key, "features", label).coalesce(tasks), "experiment-rows").coalesce(tasks)
                     for part in split_and_resample(df, key, label, sampling, resample_first)
                 ]
+                ready[name] = parts if search else [part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts]
             running[name] += 1
         try:
             yield ready[name]

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.sql import functions as F
 
+from rowsmith.operators import train as train_module
 from rowsmith.operators.columns import assemble
 from rowsmith.operators.resample import kfold, train_test_split
 from rowsmith.operators.train import (
@@ -9,6 +11,7 @@ from rowsmith.operators.train import (
     ExactAuc,
     cross_validate,
     experiment,
+    first_trees,
     fit_score,
     grid_search,
     halving_search,
@@ -175,3 +178,49 @@ def test_rows_of_an_experiment_are_given_free(spark, data):
         for r in alone.collect():
             assert found[sampling, r["model"]] == [r[n] for n in names]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
+def test_boosted_trees_are_fitted_once_for_all_numbers_of_trees(parts, monkeypatch):
+    rows = kfold(parts[0], "k", 2)
+    model = make_model("gbt", "label", 2)
+    grid = param_grid(model, {"maxDepth": [1, 2], "maxIter": [2, 5, 3]})
+    counts = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, data, params=None: counts.append(params) or fit(self, data, params))
+    found = {(r["fold"], r["point"]): r["auc"] for r in cross_validate(model, grid, rows, "label", 2).collect()}
+    assert len(found) == 12 and len(counts) == 4 and all(p[model.maxIter] == 5 for p in counts)
+    for fold in range(2):
+        train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+        for point, params in enumerate(grid):
+            alone = fit(model, train, params)
+            assert found[fold, point] == ExactAuc("label").evaluate(alone.transform(test))
+    short, long = [fit(model, parts[0], {model.maxIter: n}) for n in (2, 5)]
+    cut = first_trees(long, 2)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in short.trees]
+    assert cut.treeWeights == short.treeWeights and cut.getLabelCol() == "label"
+    names = ["k", "probability", "prediction"]
+    assert sorted(cut.transform(parts[1]).select(names).collect()) == sorted(short.transform(parts[1]).select(names).collect())
+    stopped = model.copy({model.validationIndicatorCol: "held"})
+    for tried in (stopped, make_model("dt", "label", 2)):
+        fitted_apart = param_grid(tried, {"maxDepth": [1, 2]}) if tried is not stopped else grid
+        cross = train_module._longest_series(tried, fitted_apart)
+        assert cross == list(range(len(fitted_apart)))
+    assert train_module._longest_series(model, grid) == [1, 1, 1, 4, 4, 4]
+
+
+def test_rows_of_an_experiment_do_not_carry_their_source(spark, data, monkeypatch):
+    """Every job of a fit sends the way to its rows, so it must start at the written rows, not at their source."""
+    seen = []
+    fit = DecisionTreeClassifier.fit
+
+    def noted(self, rows, params=None):
+        seen.append(rows._jdf.queryExecution().analyzed().toString())
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", noted)
+    for search in ("halving", True, False):
+        experiment(
+            data, "k", "label", {"both": FEATURES}, ["up"], ["dt"], scratch_path(spark, "table"),
+            values={"dt": {"maxDepth": [1, 2]}}, folds=2, search=search,
+        ).count()
+    assert seen and all("parquet" in plan and "Range" not in plan for plan in seen)
