@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowsmith.llm.bpe import FragmentCache
 from rowsmith.llm.common import shuffle_width, text_batches
+from rowsmith.llm.library_tokens import library_table
 
 END_ID = 2
 BLOCK_IDS = 4_096
@@ -182,7 +183,7 @@ def token_bytes(text: Column, path: str, end_id: int = END_ID) -> Column:
 
     @F.arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
-        found = library_cache(path).ids(t.as_py() for t in texts)
+        found = library_table(path).ids(texts)
         return pa.array([narrow(np.frombuffer(ids + end, "<u4")) for ids in found], pa.binary())
 
     return of(text)

@@ -1,14 +1,16 @@
+import itertools
 import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, token_counts, token_files
+from rowsmith.llm import bpe, decontaminate, library_tokens, licenses, quality_classifier, quality_rules, token_counts, token_files
 from rowsmith.llm.queries import VOCABULARY
 from rowsmith.session import scratch_path
 from tests.llm import brute, cases
@@ -118,6 +120,55 @@ def test_token_files_match_brute_force(spark, monkeypatch):
     assert token_files.document_tokens(spark, empty).collect() == []
 
 
+def ids_by_table(table, texts):
+    return [np.frombuffer(ids, "<u4").tolist() for ids in table.ids(pa.array(texts, pa.string()))]
+
+
+@pytest.mark.parametrize("entries, group", [(200, 700), (50, 1), (500_000, 4_000_000)])
+def test_table_gives_the_ids_of_the_library(monkeypatch, entries, group):
+    monkeypatch.setattr(library_tokens, "TABLE_ENTRIES", entries)
+    monkeypatch.setattr(library_tokens, "GROUP_BYTES", group)
+    rng = random.Random(3)
+    parts = ["a", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u205f", "\u3000", "\u200b", "'s", "'"]
+    parts += ["<|endoftext|>", "<", "|", "\xe9", "\xd7", "\xf7", "\u024f", "\u0250", "\u047f", "\u0480", "\u4e2d", "\U0001f600", "1", "\xb2", "\u2167"]
+    parts += ["_", "!", "\r", "\x0b", "don't", "A", "\x00", "\u0301", "\u2014", "\x7f", "aaaa"]
+    plain = ["the", " ", "\n", ".", ",", "12", " and", "\xe9", "\u0436", "A", "-", " "]
+    texts = ["".join(rng.choice(parts + plain * 3) for _ in range(rng.randrange(40))) for _ in range(1_500)]
+    texts += ["".join(rng.choice(plain) for _ in range(rng.randrange(80))) for _ in range(500)]
+    texts += [None, "", "", " ", "a" * 3_000, " " + "ab" * 999, " " * 500, "\n" * 300 + "x", "=-" * 400, None]
+    table = library_tokens.LibraryTable(VOCABULARY)
+    assert ids_by_table(table, texts) == [brute.ids_of(t) for t in texts]
+    part = pa.array(texts, pa.string()).slice(700, 50)
+    assert [np.frombuffer(x, "<u4").tolist() for x in table.ids(part)] == [brute.ids_of(t) for t in texts[700:750]]
+    assert ids_by_table(table, []) == [] and ids_by_table(table, [None]) == [[]]
+
+
+def test_words_reach_the_library_once_whatever_stands_beside_them(monkeypatch):
+    sent = []
+    table = library_tokens.library_table(VOCABULARY)
+    table._clear()
+    encode = table._encode
+    monkeypatch.setattr(table, "_encode", lambda texts: (sent.extend(texts), encode(texts))[1])
+    words = ["".join(c) for c in itertools.product("bcdfg", "aeiou", "lmnr", "aeiou")]
+    signs = [".", ",", ";", ".\n", "!\n", "?", ":"]
+    texts = ["x " + " ".join(w + s + v for w, v in zip(words, words[::-1])) for s in signs]
+    assert ids_by_table(table, texts) == [brute.ids_of(t) for t in texts]
+    # Each word behind a space, each without one, and the signs; all texts together are seven times as much.
+    assert sum(map(len, sent)) < 2 * sum(len(w) + 1 for w in words) + 50 < sum(map(len, texts)) / 2
+
+
+def test_other_vocabularies_go_to_the_library_as_whole_texts(tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(VOCABULARY)
+    library.pre_tokenizer = None
+    library.save(str(tmp_path / "other.json"))
+    table = library_tokens.LibraryTable(str(tmp_path / "other.json"))
+    texts = ["a b", "", "one two\n three", None, "a b", "x" * 200 + " y"]
+    assert not table.cuts
+    assert ids_by_table(table, texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 50_257, 1 << 20, (1 << 32) - 1])
 def test_blocks_round_trip(high):
     rng = np.random.default_rng(high % 1_000)
