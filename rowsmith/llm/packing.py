@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowsmith.llm.common import materialise, text_batches
-from rowsmith.llm.token_files import library_cache
+from rowsmith.llm.library_tokens import library_table
 
 CAPACITY = 1_024
 END_ID = 2
@@ -188,11 +188,11 @@ def token_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        cache = library_cache(vocabulary)
+        table = library_table(vocabulary)
         counted: dict[int, int] = {}
         for batch in batches:
             out = []
-            for doc, data in zip(batch.column("id").to_pylist(), cache.ids(t.as_py() for t in batch.column("text"))):
+            for doc, data in zip(batch.column("id").to_pylist(), table.ids(batch.column("text"))):
                 data += end
                 size = len(data) // 4
                 stops = range((size - 1) % capacity + 1, size + 1, capacity)

@@ -22,7 +22,6 @@ repeated ids stay and follow each other in the order of their tokens' bytes. Ext
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowsmith.llm.bpe import FragmentCache
 from rowsmith.llm.common import shuffle_width, text_batches
 from rowsmith.llm.library_tokens import library_table
 
@@ -39,7 +37,6 @@ END_ID = 2
 BLOCK_IDS = 4_096
 SEGMENT_IDS = 1_000_000
 WIDTH_PERCENTILE = 95
-JOIN_CHARS = 100_000
 MAGIC = b"PFR1"
 SEGMENT = (
     "part int, first long, ids long, doc_ids array<long>, doc_lengths array<long>, payload binary"
@@ -109,63 +106,6 @@ def read_ids(payload: bytes, first: int = 0, stop: int | None = None) -> np.ndar
     return np.concatenate(got)[first - begin : None if stop is None else stop - begin]
 
 
-class LibraryEncoder:
-    """Ids by the tokenizers library for fragments cut before a space.
-
-    Plain fragments go to the library as one text, each fragment behind its space; as texts can be
-    cut there, the tokens that start with a space tell where each fragment's ids begin.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        size = self.library.get_vocab_size()
-        decoded = [self.library.id_to_token(i) or "" for i in range(size)]
-        space = self.library.pre_tokenizer.pre_tokenize_str(" ")[0][0] if self.library.pre_tokenizer else " "
-        self.spaced = np.array([t.startswith(space) for t in decoded])
-
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def fragments(self, found: list[str]) -> list[bytes]:
-        plain = [i for i, f in enumerate(found) if f[:1] == " " and len(f) > 1 and " " not in f[1:] and not f[1].isspace() and not f[-1].isspace()]
-        out: list[bytes] = [b""] * len(found)
-        chosen = set(plain)
-        other = [i for i in range(len(found)) if i not in chosen]
-        for i, ids in zip(other, self._encode([found[i] for i in other])):
-            out[i] = ids.tobytes()
-        at = 0
-        while at < len(plain):
-            size, upto = 0, at
-            while upto < len(plain) and size < JOIN_CHARS:
-                size += len(found[plain[upto]])
-                upto += 1
-            (ids,) = self._encode(["".join([found[i] for i in plain[at:upto]])])
-            cuts = np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * 4
-            if len(cuts) != upto - at + 1:
-                raise RuntimeError("a fragment was not cut at its space")
-            data = ids.tobytes()
-            for i, a, b in zip(plain[at:upto], cuts[:-1].tolist(), cuts[1:].tolist()):
-                out[i] = data[a:b]
-            at = upto
-        return out
-
-
-_caches: dict[str, FragmentCache] = {}
-
-
-def library_cache(path: str) -> FragmentCache:
-    if path not in _caches:
-        encoder = LibraryEncoder(path)
-        _caches[path] = FragmentCache(encoder.fragments)
-    return _caches[path]
-
-
 def narrow(ids: np.ndarray) -> bytes:
     """Ids as little-endian numbers behind a byte that says how wide they are: two bytes where all fit."""
     if len(ids) and int(ids.max()) > 0xFFFF:
