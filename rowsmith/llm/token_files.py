@@ -22,6 +22,7 @@ repeated ids stay and follow each other in the order of their tokens' bytes. Ext
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -47,7 +48,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     """One block of at least one id."""
     low = int(ids.min())
     rest = ids.astype(np.int64) - low
-    width = int(np.percentile(rest, WIDTH_PERCENTILE, method="higher")).bit_length()
+    at = math.ceil((len(rest) - 1) * (WIDTH_PERCENTILE / 100))
+    width = int(np.partition(rest, at)[at]).bit_length()
     out = np.flatnonzero(rest >> width)
     small = rest.copy()
     small[out] = 0
@@ -64,10 +66,19 @@ def unpack_block(data: memoryview) -> np.ndarray:
     count, low, width, others = struct.unpack_from("<IIBI", data)
     at = struct.calcsize("<IIBI")
     size = -(-count * width // 8)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=count * width).reshape(count, width)
-    full = np.zeros((count, 32 if width > 16 else 16), np.uint8)
-    full[:, full.shape[1] - width :] = bits
-    ids = np.packbits(full, axis=1).view(">u4" if width > 16 else ">u2").reshape(-1).astype(np.int64)
+    if width:
+        # A value lies within three bytes (five, if wide) from its first bit's byte on.
+        span, number = (3, np.uint32) if width <= 16 else (5, np.uint64)
+        raw = np.zeros(size + span, np.uint8)
+        raw[:size] = np.frombuffer(data, np.uint8, size, at)
+        window = raw[:size].astype(number)
+        for i in range(1, span):
+            window = (window << number(8)) | raw[i : size + i]
+        bit = np.arange(0, count * width, width)
+        shift = (8 * span - width - (bit & 7)).astype(number)
+        ids = ((window[bit >> 3] >> shift) & number((1 << width) - 1)).astype(np.int64)
+    else:
+        ids = np.zeros(count, np.int64)
     places = np.frombuffer(data, "<u4", others, at + size)
     ids[places] = np.frombuffer(data, "<u4", others, at + size + 4 * others)
     return (ids + low).astype(np.uint32)
